@@ -1,0 +1,57 @@
+"""What the operators of this subpackage share: text columns, row keys, the shared folder."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: ASCII white space, as `[\x20\x09-\x0D]`.
+BLANKS = " \t\n\x0b\x0c\r"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lower_ascii(c: Column) -> Column:
+    """A-Z in lower case, all else as it is. The quick built-in serves texts that are ASCII."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
+
+
+def blank_words(c: Column) -> Column:
+    """Words `[^\\x20\\x09-\\x0D]+` as an array; null and blank texts give an empty one."""
+    trimmed = F.trim(F.coalesce(c, F.lit("")), F.lit(BLANKS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
+
+
+def row_key(c: Column) -> list[Column]:
+    """Two hashes that, with doc_id, tell different rows apart; rows equal in all have equal results."""
+    return [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit(1), c).alias("k2")]
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir of the session.
+
+    Where no such folder is set (tests on one machine), one under the system's temporary folder is set."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top:
+        import tempfile
+
+        top = f"file://{tempfile.gettempdir()}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", top)
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: lineage ends here, and a lost executor costs no rerun."""
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
