@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollway.llm import quality, sql
+from tollway.llm import licenses, quality, sharding, sql
 from tollway.llm.common import table
 
 
@@ -10,8 +10,17 @@ def op7_quality_rules(spark, sf_dir):
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_quality_rules,)}
+    found = (op6_sharding, op7_quality_rules, op9_license_scan)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
