@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollway.llm import licenses, quality, sharding, sql
+from tollway.llm import licenses, quality, sharding, sql, substrings
 from tollway.llm.common import table
 
 
@@ -14,12 +14,17 @@ def op6_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    out = substrings.dedup(table(spark, sf_dir, "documents"), texts=False, parts=2)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
+
+
 def op9_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    found = (op6_sharding, op7_quality_rules, op9_license_scan)
+    found = (op6_sharding, op7_quality_rules, op8_substring_dedup, op9_license_scan)
     return {f.__name__: f for f in found}
 
 
