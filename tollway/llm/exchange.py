@@ -31,7 +31,7 @@ Hasher = Callable[[np.ndarray, np.ndarray, pa.RecordBatch], tuple[np.ndarray, np
 
 def planes(a: np.ndarray) -> bytes:
     """Bytes of the numbers, least significant ones first, so that a codec finds the zeros."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
 def from_planes(b: bytes, kind: type) -> np.ndarray:
