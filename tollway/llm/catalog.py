@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollway.llm import licenses, quality, sharding, sql, substrings
+from tollway.llm import decontaminate, licenses, quality, sharding, simhash, sql, substrings, suffixes
 from tollway.llm.common import table
 
 
@@ -10,6 +10,14 @@ def op7_quality_rules(spark, sf_dir):
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffixes.dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.match(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -23,8 +31,12 @@ def op9_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_dedup(spark, sf_dir):
+    return simhash.link(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    found = (op6_sharding, op7_quality_rules, op8_substring_dedup, op9_license_scan)
+    found = (op1_suffix_dedup, op3_decontamination, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_license_scan, op10_simhash_dedup)
     return {f.__name__: f for f in found}
 
 
