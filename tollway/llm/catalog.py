@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollway.llm import decontaminate, extract, licenses, quality, secrets, sharding, simhash, sql, substrings, suffixes
+from tollway.llm import decontaminate, extract, licenses, mixing, quality, secrets, sharding, simhash, sql, substrings, suffixes
 from tollway.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_simhash_dedup(spark, sf_dir):
 
 
 def queries() -> dict:
-    found = (op1_suffix_dedup, op2_html_extraction, op3_decontamination, op4_secret_scan, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_license_scan, op10_simhash_dedup)
+    found = (op1_suffix_dedup, op2_html_extraction, op3_decontamination, op4_secret_scan, op5_source_mixing, op6_sharding, op7_quality_rules, op8_substring_dedup, op9_license_scan, op10_simhash_dedup)
     return {f.__name__: f for f in found}
 
 
