@@ -45,7 +45,7 @@ def thresholds(gaps: DataFrame, s: Segmentation) -> DataFrame:
     counted = x.groupBy(*PAIR, "period", "time").agg(F.count("*").alias("n"))
     trees, seed = s.n_estimators, s.random_state
 
-    def filtered(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def filtered(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("time")
         kept = inliers(np.repeat(pdf["time"].to_numpy(float), pdf["n"].to_numpy(int)), trees, seed, "-".join(map(str, key)))
         return pd.DataFrame({"from_KKBH": [key[0]], "to_KKBH": [key[1]], "kkod": [f"{key[0]}-{key[1]}"], "period": [key[2]], "min": [kept.min()], "median": [float(np.median(kept))], "max": [kept.max()]})

@@ -395,7 +395,7 @@ def duration_estimate(spark, sf_dir):
 
 # matching
 
-NEAR = """near as (select seq, KKBH, name as node, lon, lat, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(Latitude - lat) / 2), 2) + cos(radians(lat)) * cos(radians(Latitude)) * pow(sin(radians(Longitude - lon) / 2), 2))) as dist
+NEAR = """near as materialized (select seq, KKBH, name as node, lon, lat, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(Latitude - lat) / 2), 2) + cos(radians(lat)) * cos(radians(Latitude)) * pow(sin(radians(Longitude - lon) / 2), 2))) as dist
 from positions join nodes on abs(lon - Longitude) <= 9.769874e-06 * 60 and abs(lat - Latitude) <= 8.993216e-06 * 60)"""
 
 
@@ -409,7 +409,7 @@ def bbox_candidates(spark, sf_dir):
 
 
 # DuckDB follows serial choice by recursion: one level for each checkpoint, carrying the list of nodes taken
-SERIAL = f""", {NEAR}, turns as (select seq, KKBH, list(struct_pack(node := node, dist := dist) order by dist, lon, lat) as options, row_number() over (order by seq) as turn from near where dist <= 60 group by 1, 2),
+SERIAL = f""", {NEAR}, turns as materialized (select seq, KKBH, list(struct_pack(node := node, dist := dist) order by dist, lon, lat) as options, row_number() over (order by seq) as turn from near where dist <= 60 group by 1, 2),
 chosen as (select 0::bigint as turn, 0::bigint as seq, ''::varchar as KKBH, null::struct(node varchar, dist double) as pick, []::varchar[] as taken
 union all select turn, seq, KKBH, pick, case when pick is null then taken else list_append(taken, pick.node) end from (
   select t.turn, t.seq, t.KKBH, list_filter(t.options, lambda o: not list_contains(c.taken, o.node))[1] as pick, c.taken from chosen c join turns t on t.turn = c.turn + 1))
