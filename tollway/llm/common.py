@@ -49,9 +49,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here, and a lost executor costs no rerun."""
+    """df as a Parquet table in the shared folder: lineage ends here, and a lost executor costs no rerun.
+
+    The shuffle files of the write go when it ends, so that disk holds those of one step at a time."""
     spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
+    path, before = shared_folder(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)

@@ -132,7 +132,7 @@ def _answer(ordered: bool):
             mine = p[hit[at : at + len(p)]]
             at += len(p)
             if len(mine):
-                yield _rows(ANSWER, [(block, False, planes(mine))])
+                yield _rows(ANSWER, [(block, False, planes(deltas(mine)))])
 
     return answer
 
@@ -146,20 +146,17 @@ def _collect(ordered: bool):
                 homes = {x["body"] for x in items if x["home"]}
                 for home in homes:
                     ids, known, k1, k2, first, again, of = unpack(home, np.int64, np.uint8, np.int64, np.int64, np.int64, np.uint32, np.uint32)
-                    hits = [from_planes(x["body"], np.uint32) for x in items if not x["home"]]
-                    hits = np.concatenate(hits) if hits else np.zeros(0, np.uint32)
+                    mark = np.zeros(int(first[-1]), bool)
+                    for x in items:
+                        if not x["home"]:
+                            mark[np.cumsum(from_planes(x["body"], np.uint32), dtype=np.uint32)] = True
                     if ordered:
                         later = ids[np.searchsorted(first, again, "right") - 1] > ids[np.searchsorted(first, of, "right") - 1]
-                        more = [again[later | np.isin(of, hits)]]
+                        mark[again[later | mark[of]]] = True
                     else:
-                        more = [again, of]
-                    hits = np.unique(np.concatenate([hits, *more])).astype(np.int64)
-                    cut = np.searchsorted(hits, first)
-                    rows = [
-                        (int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), (hits[cut[i] : cut[i + 1]] - first[i]).astype(np.uint32).tobytes())
-                        for i in range(len(ids))
-                        if cut[i + 1] > cut[i]
-                    ]
+                        mark[again] = mark[of] = True
+                    some = np.flatnonzero(np.add.reduceat(np.r_[mark, False], first[:-1], dtype=np.int64) * (np.diff(first) > 0))
+                    rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes()) for i in some]
                     if rows:
                         yield _rows(SPANS, rows)
 
@@ -171,7 +168,7 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, hasher: Hasher, name: str, ordered: bool = False, parts: int = 1) -> DataFrame:
-    """(doc_id, k1, k2, hits): the windows of each document that occur again, as packed positions of their starts.
+    """(doc_id, k1, k2, hits): the windows of each document that occur again, as bitmaps over the positions of their starts.
 
     docs: doc_id, k1, k2, text and what the hasher reads. ordered: only occurrences in documents with a smaller
     doc_id count (a null id is the largest). parts: so many shares of the hashes are exchanged one after the
@@ -194,7 +191,10 @@ def joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def positions(hits: list | None) -> np.ndarray:
-    """Sorted distinct window starts from a document's packed hits."""
+    """Sorted window starts from a document's bitmaps."""
     if not hits:
         return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in hits])).astype(np.int64)
+    both = np.frombuffer(hits[0], np.uint8)
+    for x in hits[1:]:
+        both = both | np.frombuffer(x, np.uint8)
+    return np.flatnonzero(np.unpackbits(both))

@@ -27,7 +27,7 @@ from tollway.llm.common import written
 LENGTH = 200
 # A perfect difference set. Every residue modulo 133 but 0 is exactly one difference of two of them.
 PERIOD, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
-SHARES = 4
+SHARES = 2
 OUT = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
