@@ -1,0 +1,31 @@
+"""The pipeline as a whole, and the registry."""
+
+import corpus_pipeline
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, edge_docs, no_docs):
+    assert [n for n, _ in corpus_pipeline.STAGES][1] == "SimHash near-dedup" and len(corpus_pipeline.STAGES) == 5
+    for docs in (edge_docs, no_docs):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert out.columns == docs.columns, name
+            assert out.count() <= docs.count()
+
+
+def test_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == [*docs.columns, "shard", "slot"]
+    rows = out.collect()
+    assert 0 < len(rows) < docs.count() and {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+    again = {(r.doc_id, r.shard, r.slot) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert again == {(r.doc_id, r.shard, r.slot) for r in rows}
+
+
+def test_registry():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
