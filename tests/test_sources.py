@@ -2,14 +2,16 @@
 
 import json
 import struct
+import zipfile
 from pathlib import Path
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
 from tollway import __main__ as cli
 from tollway.config import Rules, Segmentation, align, dump, load, overlay
-from tollway.sources import shapefile, sinks, tables
+from tollway.sources import arrays, shapefile, sinks, tables
 
 TEXT = "KKBH,FZJG\n007,粤E\n8,粤X\n"
 
@@ -63,6 +65,21 @@ def test_cache(spark, tmp_path):
     assert len(made) == 3
 
 
+def test_arrays_and_spreadsheets(spark, tmp_path):
+    matched = spark.createDataFrame([(1, "n2", "008", 3.5), (0, "n1", "007", 1.25)], "seq long, node string, KKBH string, dist_m double")
+    arrays.write_match_npy(matched, str(tmp_path / "m.npy"))
+    assert [tuple(r) for r in arrays.read_match_npy(spark, str(tmp_path / "m.npy")).orderBy("seq").collect()] == [(0, "n1", "007", 1.25), (1, "n2", "008", 3.5)]
+    nodes = spark.createDataFrame([("a", 1.0, 2.0)], "name string, lon double, lat double")
+    arrays.write_positions_npy(nodes, str(tmp_path / "p.npz"))
+    assert arrays.read_positions_npy(spark, str(tmp_path / "p.npz")).collect() == nodes.collect()
+    arrays.write_xlsx(spark.createDataFrame([("1m & more", 2, 0.5), (None, 3, 0.25)], "label string, n long, p double"), str(tmp_path / "x.xlsx"))
+    with zipfile.ZipFile(tmp_path / "x.xlsx") as z:
+        sheet = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))
+    assert ["".join(c.itertext()) for c in sheet.iter() if c.tag.endswith("}c")] == ["label", "n", "p", "1m & more", "2", "0.5", "", "3", "0.25"]
+    with pytest.raises(ValueError, match="more than 1 rows"):
+        arrays.write_xlsx(spark.range(3), str(tmp_path / "y.xlsx"), most=1)
+
+
 def test_config(tmp_path):
     path = str(tmp_path / "r.json")
     dump(Rules(), path)

@@ -13,7 +13,7 @@ from pathlib import Path
 from tollway.config import Rules, Segmentation, Topology, overlay, read_json
 from tollway.plans import stages
 from tollway.session import local_session
-from tollway.sources import sinks, tables
+from tollway.sources import arrays, sinks, tables
 
 STAGES = ("preprocess", "statistics", "supplement", "partition", "topology", "match", "diagnose")
 
@@ -48,6 +48,9 @@ def run(spark, stage: str, paths: dict[str, str], encoding: str | None, r: Rules
         hours, histogram = stages.statistics(tables.read_parquet(spark, f"{out}/passes.parquet", "passes"), r)
         sinks.write_csv(hours.orderBy("hour"), f"{out}/hourly.csv")
         sinks.write_csv(histogram, f"{out}/gaps.csv")
+        if "://" not in out:
+            arrays.write_xlsx(hours.orderBy("hour"), f"{out}/hourly.xlsx")
+            arrays.write_xlsx(histogram, f"{out}/gaps.xlsx")
     elif stage == "supplement":
         s = stages.read_sources(spark, paths, encoding)
         key = sinks.signature(spark, paths["raw"], encoding=encoding)
@@ -73,7 +76,10 @@ def run(spark, stage: str, paths: dict[str, str], encoding: str | None, r: Rules
         points = points if "Longitude" in points.columns else tables.points_from_wkt(points)
         points = points.withColumns({c: points[c].cast("double") for c in ("Longitude", "Latitude")})
         found = stages.match_checkpoints(points, tables.read_parquet(spark, f"{out}/nodes.parquet", "nodes"), t)
+        found = sinks.checkpointed(found)
         sinks.write_csv(found.orderBy("seq").drop("seq"), f"{out}/match.csv")
+        if "://" not in out:
+            arrays.write_match_npy(found, f"{out}/match.npy")
     else:
         s = stages.read_sources(spark, paths, encoding)
         read = lambda name: tables.read_parquet(spark, f"{out}/{name}.parquet", name)
