@@ -11,7 +11,8 @@ from tollway.config import Segmentation
 from tollway.functions import exprs as E
 from tollway.operators import thresholds as T
 
-KEPT = pa.schema([("CLTMBH", pa.string()), ("z", pa.int64()), ("trip", pa.int64()), ("pos", pa.string()), ("KKBH", pa.string()), ("micros", pa.int64()), ("closed", pa.bool_())])
+CLOSED = pa.schema([("CLTMBH", pa.string()), ("trip", pa.int64()), ("pos", pa.list_(pa.string())), ("checkpoint", pa.list_(pa.string())), ("micros", pa.list_(pa.int64()))])
+CLOSED_DDL = "CLTMBH string, trip long, pos array<string>, checkpoint array<string>, micros array<long>"
 
 
 def points(passes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -32,43 +33,37 @@ def with_bounds(pts: DataFrame, rows: DataFrame, b: DataFrame, s: Segmentation)
     return x.withColumns({"least": least, "most": most}).drop("periods")
 
 
-def _follow(batches):
-    """The sequential part: which points are kept, and of which trip. State is a trip number and the time last kept.
+def _follow(least_micros: float):
+    """The sequential part. State is the open trip and how many came before it; both run on from batch to batch, as input is
+    sorted by vehicle and time within a partition. A trip leaves when it is closed, so it needs no second exchange."""
 
-    Input is sorted by vehicle and time within a partition; state runs on from batch to batch."""
-    vehicle = last = None
-    trip = 0
-    held: tuple | None = None  # the first point waits for the second
-    for batch in batches:
+    def follow(batches):
+        vehicle, trip, open_, before = None, 0, [], None
         names = ("CLTMBH", "z", "n", "KKBH", "pos", "micros", "prev", "least", "most", "B")
-        out = []
-        for v, z, n, kkbh, pos, at, prev, least, most, b in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if v != vehicle or z == 0:
-                vehicle, last, trip, held = v, None, 0, (v, 0, 0, pos, kkbh, at, False)
-                before = at
-                continue
-            ti = (at - (before if last is None else last)) / 1e6
-            if kkbh != prev and ti != 0 and least <= ti <= most:
-                if z == 1:
-                    out.append(held)
-                last = at
-                out.append((v, z, trip, pos, kkbh, at, z == n - 1 and z != 1))
-            elif (ti > most) if kkbh != prev else (ti > b):
-                trip += 1
-                last = at
-                out.append((v, z, trip, pos, kkbh, at, False))
-            before = at
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), KEPT, strict=True)], schema=KEPT)
-
-
-def kept_points(pts: DataFrame) -> DataFrame:
-    """(CLTMBH, z, trip, pos, KKBH, GCSJ, closed) of the points kept; the points need bounds."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("GCSJ"))
-    x = pts.select("CLTMBH", F.col("z").cast("long"), F.col("n").cast("long"), "KKBH", "pos", micros.alias("micros"), "prev", "least", "most", "B")
-    x = x.repartition("CLTMBH").sortWithinPartitions("CLTMBH", "z")
-    kept = x.mapInArrow(_follow, "CLTMBH string, z long, trip long, pos string, KKBH string, micros long, closed boolean")
-    return kept.withColumn("GCSJ", F.timestamp_micros("micros").cast("timestamp_ntz")).drop("micros")
+        for batch in batches:
+            out = []
+            for v, z, n, kkbh, pos, at, prev, least, most, b in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                point = (pos, kkbh, at)
+                if z == 0:
+                    vehicle, trip, open_, before = v, 0, [], point
+                    continue
+                ti = (at - (open_[-1] if open_ else before)[2]) / 1e6
+                accepted = kkbh != prev and ti != 0 and least <= ti <= most
+                ends = not accepted and ti > (most if kkbh != prev else b)
+                if accepted:
+                    # the very first point joins its successor
+                    open_ = [before] if z == 1 else open_
+                    open_.append(point)
+                if ends or (accepted and z == n - 1 and z != 1):
+                    if len(open_) > 1 and open_[-1][2] - open_[0][2] > least_micros:
+                        out.append((vehicle, trip, *map(list, zip(*open_, strict=True))))
+                if ends:
+                    trip, open_ = trip + 1, [point]
+                before = point
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), CLOSED, strict=True)], schema=CLOSED)
+
+    return follow
 
 
 def _collected(kept: DataFrame, s: Segmentation) -> DataFrame:
@@ -81,13 +76,17 @@ def _collected(kept: DataFrame, s: Segmentation) -> DataFrame:
 
 
 def trips(pts: DataFrame, s: Segmentation) -> DataFrame:
-    """Trips by the sequential rule: CLTMBH, trip, pos, checkpoint, time, start, stop, travel, n_points.
+    """Trips by the sequential rule: CLTMBH, trip, pos, checkpoint, time, start, stop, travel, n_points. The points need bounds.
 
     A trip that is open when a vehicle's passes end is lost, unless the last pass was accepted into it."""
-    kept = kept_points(pts)
-    last = W.partitionBy("CLTMBH")
-    x = _collected(kept.withColumn("resets", F.max("trip").over(last)).withColumn("closed", F.col("closed") | (F.col("trip") < F.col("resets"))).drop("resets"), s)
-    return x.where("closed").drop("closed")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("GCSJ"))
+    x = pts.select("CLTMBH", F.col("z").cast("long"), F.col("n").cast("long"), "KKBH", "pos", micros.alias("micros"), "prev", "least", "most", "B")
+    x = x.repartition("CLTMBH").sortWithinPartitions("CLTMBH", "z").mapInArrow(_follow(s.min_trip_seconds * 1e6), CLOSED_DDL)
+    stamp = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return x.select(
+        "CLTMBH", "trip", "pos", "checkpoint", F.transform("micros", stamp).alias("time"), stamp(F.col("micros")[0]).alias("start"), stamp(F.element_at("micros", -1)).alias("stop"),
+        ((F.element_at("micros", -1) - F.col("micros")[0]) / F.lit(1e6)).alias("travel"), F.size("pos").alias("n_points"),
+    )
 
 
 def trips_islands(pts: DataFrame, s: Segmentation, rows: DataFrame, b: DataFrame) -> DataFrame:

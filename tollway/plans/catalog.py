@@ -13,6 +13,7 @@ from tollway.functions import exprs as E
 from tollway.functions.geodesic import haversine_m
 from tollway.operators import clean, diagnostics, impute, mapping, match, rules, stats, thresholds, topology, trips
 from tollway.plans import oracle, views
+from tollway.sources import sinks
 
 R, S, T = Rules(), Segmentation(), Topology()
 #: Every pair in one row, so that SQL can follow.
@@ -303,7 +304,7 @@ def iforest_thresholds(spark, sf_dir):
 
 def _points(spark, sf_dir, s):
     passes = views.passes(spark, sf_dir)
-    gaps = stats.gaps(passes)
+    gaps = sinks.checkpointed(stats.gaps(passes).drop("CLTMBH", "KKOD"))  # read by three plans
     r = views.view(spark, sf_dir, "select distinct event_type as KKBH, 'N-' || event_type as node from events where event_type <> (select max(event_type) from events)")
     return trips.points(passes, r), thresholds.thresholds(gaps, s), thresholds.fixed_threshold(gaps, s)
 

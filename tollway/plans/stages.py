@@ -51,7 +51,7 @@ def supplement(s: Sources, r: Rules, distribution: DataFrame | None = None) -> t
 def partition(records: DataFrame, route: DataFrame, g: Segmentation) -> tuple[DataFrame, DataFrame, dict]:
     """(trips, thresholds, metadata) of excluded records. Thresholds are learnt before records off the route go."""
     x = clean.normalize_for_partition(records)
-    gaps = stats.gaps(x)
+    gaps = sinks.checkpointed(stats.gaps(x).drop("CLTMBH", "KKOD"))  # read by three plans
     b = sinks.checkpointed(thresholds.fixed_threshold(gaps, g))
     fixed = b.first()["B"]
     if fixed is None:
