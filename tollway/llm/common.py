@@ -49,6 +49,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Settings that bound what is sent to a Python worker at once, and their values here and by default.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("1000", "10000"), "spark.sql.execution.arrow.maxBytesPerBatch": (str(4 << 20), "67108864")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches in the session by rows and bytes, so that long texts don't pile up; a user's own settings stay."""
+    for name, (value, default) in BATCHES.items():
+        if spark.conf.get(name, default) in (default, "-1", f"{default}b"):
+            spark.conf.set(name, value)
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

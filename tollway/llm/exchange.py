@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import rolling
-from tollway.llm.common import partitions, row_key, written
+from tollway.llm.common import partitions, row_key, small_batches, written
 
 LARGEST = np.iinfo(np.int64).max
+#: Bytes of text in a block, but one document at least.
+BLOCK = 2 << 20
 PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
 ANSWER = pa.schema([("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
 SPANS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("hits", pa.binary())])
@@ -62,7 +64,7 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def _send(hasher: Hasher, buckets: int, ordered: bool, part: int, parts: int):
     def send(batches):
-        for batch in rolling.chunks(batches, "text"):
+        for batch in rolling.chunks(batches, "text", BLOCK):
             ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
             if ordered:
                 batch = batch.take(pa.array(order := np.argsort(ids, kind="stable")))
@@ -164,7 +166,8 @@ def _collect(ordered: bool):
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select("doc_id", *row_key(F.col("text")), "text", *more)
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(F.col("text")), "text", *more)
 
 
 def repeats(docs: DataFrame, hasher: Hasher, name: str, ordered: bool = False, parts: int = 1) -> DataFrame:

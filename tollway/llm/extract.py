@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tollway.llm import pages, rolling
+from tollway.llm.common import small_batches
 
 #: Labelled pages that the field is trained on, and passes over them.
 PAGES, PASSES, RATE, DECAY = 500, 150, 0.1, 1e-3
@@ -208,4 +209,5 @@ def extract(rows: DataFrame, model: Field | None = None) -> DataFrame:
             text = [main_text(x or "", model.value) for x in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
+    small_batches(rows.sparkSession)
     return rows.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")

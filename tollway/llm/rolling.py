@@ -80,8 +80,21 @@ def words(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     return start, end, np.searchsorted(start, at)
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 22) -> np.ndarray:
+    """Hashes of the stretches [start, end) of data, starts ascending; prefix sums are held for `most` bytes at once."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        base = int(start[i])
+        j = int(np.searchsorted(start, base + most))
+        own = data[base : int(end[i:j].max())]
+        out[i:j] = stretch(prefix(BYTE_VALUES[own]), start[i:j] - base, end[i:j] - base)
+        i = j
+    return out
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return stretch(prefix(BYTE_VALUES[data]), start, end)
+    return byte_hashes(data, start, end)
 
 
 def windows(first: np.ndarray, size: int) -> np.ndarray:
@@ -100,7 +113,7 @@ def runs(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.r_[0, gap + 1]], at[np.r_[gap, len(at) - 1]] + size
 
 
-def chunks(batches, column: str, most: int = 4 << 20):
+def chunks(batches, column: str, most: int = 1 << 20):
     """Record batches cut so that their texts have about `most` bytes, but one row at least."""
     for batch in batches:
         texts_ = batch.column(column)

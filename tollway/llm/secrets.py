@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tollway.llm import rolling
+from tollway.llm.common import small_batches
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -114,4 +115,5 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
             n = [pa.array([x[k] for x in counts], pa.int64()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *n[:3], pa.array(base, pa.string()), pa.array(every, pa.string()), n[3]], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(find, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")

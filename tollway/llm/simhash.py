@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
-from tollway.llm.common import written
+from tollway.llm.common import partitions, written
 
 SHINGLE = 3
 BITS = 2
@@ -145,7 +145,8 @@ def links(prints: DataFrame, budget: int = BITS, chunk: int = CHUNK) -> DataFram
     n = own.count()
     depth = max(1, (n // (chunk // 4)).bit_length())
     masks = [sum(1 << i for i in c) for k in range(budget + 1) for c in combinations(range(depth), k)]
-    own = own.withColumn("node", F.shiftrightunsigned("fp", 64 - depth))
+    # the small table may lie in one file: it is dealt out before it is multiplied
+    own = own.repartition(partitions(own.sparkSession)).withColumn("node", F.shiftrightunsigned("fp", 64 - depth))
     cuts = own.groupBy("node").agg(F.ceil(F.count("*") / chunk).cast("int").alias("cuts"))
     # as many nodes as 2^depth, that is about 4 n / chunk
     cuts = written(cuts, "nodes")
