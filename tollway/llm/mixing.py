@@ -1,23 +1,24 @@
 """Mixing to target weights by iterative proportional fitting.
 
-Tokens are summed by cell (source, language, topic). The cells' weights are raked: scaled in turn so that each
-source's, language's and topic's share of weighted tokens meets its target, until all do. A document is kept with
-a probability in proportion to its cell's factor, the largest being 1, by a hash of its id and text; so the kept
-tokens have the target shares in expectation, and a rerun keeps the same documents.
+Tokens are summed by cell (source, language, topic). The cells' probabilities are raked: scaled in turn so that
+the expected tokens of each source, language and topic meet their target, which is its share of the tokens to keep
+(KEEP of all), and held at 1 at most, until all targets are met. A document is kept with its cell's probability, by
+a hash of its id and text; so the kept tokens have the target shares in expectation, and a rerun keeps the same.
 
-Cells, margins and targets stay in Spark, whatever their number; each sweep is written, and the driver sees one
-number of each. Targets of a margin are given as shares, or by default its observed shares to the power SOFTEN,
+Up to DRIVER_CELLS cells are raked in arrays at the driver; more stay in Spark, where each sweep is written and the
+driver sees one number of it. Both do the same arithmetic. Targets of a margin are given as shares, or by default its observed shares to the power SOFTEN,
 made to sum to 1; values without a given target share what is left of 1 as they were observed. Margins that no
-weights can meet at once end after SWEEPS with the nearest that raking came to.
+probabilities up to 1 can meet end after SWEEPS with the nearest that raking came to: their cells are kept whole.
 
 Nulls: a null source, language or topic is a value of its own, shown as NONE; a null text has no tokens and the
-probability of its cell. A cell without tokens keeps factor 1 before scaling. Equal rows meet one fate. Extra
+probability of its cell. A cell without tokens is kept as KEEP says. Equal rows meet one fate. Extra
 columns are kept by ``sample``; a column `topic` is used where there is one."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +26,13 @@ from tollway.llm.common import blank_words, row_key, written
 
 MARGINS = ("source", "lang", "topic")
 NONE = "(none)"
-SOFTEN = 0.75
+SOFTEN = 0.85
+KEEP = 0.6
 SWEEPS = 20
 TOLERANCE = 1e-4
 SEED = 20
+#: Cells that the driver takes at most: some 10 MB.
+DRIVER_CELLS = 100_000
 
 # Words that place a text without a topic of its own; the first that stands in it decides.
 TOPICS = [
@@ -69,26 +73,71 @@ def targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> Da
     return seen.select("value", (F.col("raw") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, given: dict[str, dict[str, float]] | None = None, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
-    """cells (margins, tokens) with factor: factor * tokens have the target shares; the largest factor is 1."""
-    given = given or {}
-    cells = written(cells.withColumn("factor", F.lit(1.0)), "cells")
+def _rake_in_spark(cells: DataFrame, given: dict[str, dict[str, float]], keep: float, sweeps: int, tolerance: float) -> DataFrame:
+    cells = cells.withColumn("probability", F.lit(float(keep)))
     full = cells.where("tokens > 0")
+    budget = keep * (full.agg(F.sum("tokens")).first()[0] or 0)
     wanted = {m: written(targets(full, m, given.get(m)), "targets") for m in MARGINS}
     for _ in range(sweeps):
         now = cells
         for m in MARGINS:
-            mass = now.groupBy(m).agg(F.sum(F.col("factor") * F.col("tokens")).alias("mass"))
-            scale = mass.join(wanted[m].withColumnRenamed("value", m), m, "left").select(m, F.when(F.col("mass") > 0, F.col("target") / F.col("mass")).alias("scale"))
-            now = now.join(scale, m).select(*MARGINS, "tokens", (F.col("factor") * F.coalesce("scale", F.lit(1.0))).alias("factor"), F.col("scale").alias(f"scale_{m}"), *[c for c in now.columns if c.startswith("scale_")])
+            mass = now.groupBy(m).agg(F.sum(F.col("probability") * F.col("tokens")).alias("mass"))
+            scale = mass.join(wanted[m].withColumnRenamed("value", m), m, "left").select(m, F.when(F.col("mass") > 0, F.col("target") * budget / F.col("mass")).alias("scale"))
+            moved = F.least(F.lit(1.0), F.col("probability") * F.coalesce("scale", F.lit(1.0)))
+            # what a margin still had to move, but for cells that are whole
+            off = F.when((F.col("probability") < 1) | (moved < 1), F.abs(moved / F.col("probability") - 1)).otherwise(0.0)
+            now = now.join(scale, m).select(*MARGINS, "tokens", moved.alias("probability"), off.alias(f"off_{m}"), *[c for c in now.columns if c.startswith("off_")])
         now = written(now, "cells")
-        # once the first margin is met before it is scaled, all are
-        off = now.where("tokens > 0").agg(F.max(F.greatest(*[F.abs(F.col(f"scale_{m}") - 1) for m in MARGINS]))).first()[0]
-        cells = now.select(*MARGINS, "tokens", "factor")
+        off = now.where("tokens > 0").agg(F.max(F.greatest(*[f"off_{m}" for m in MARGINS]))).first()[0]
+        cells = now.select(*MARGINS, "tokens", "probability")
         if off is None or off < tolerance:
             break
-    most = cells.where("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
-    return cells.withColumn("factor", F.least(F.lit(1.0), F.col("factor") / F.lit(most)))
+    return cells
+
+
+def shares(tokens: dict[str, float], given: dict[str, float] | None) -> dict[str, float]:
+    """Target of each value of a margin, by its tokens; targets sum to 1."""
+    if given is None:
+        raw = {v: t**SOFTEN for v, t in tokens.items()}
+    else:
+        free, rest = sum(t for v, t in tokens.items() if v not in given) or 1, max(0.0, 1.0 - sum(given.values()))
+        raw = {v: float(given[v]) if v in given else rest * t / free for v, t in tokens.items()}
+    total = sum(raw.values()) or 1.0
+    return {v: x / total for v, x in raw.items()}
+
+
+def _rake_at_driver(rows: list, given: dict[str, dict[str, float]], keep: float, sweeps: int, tolerance: float) -> list[float]:
+    tokens = np.array([r["tokens"] for r in rows], float)
+    budget = keep * tokens.sum()
+    margins = []
+    for m in MARGINS:
+        values, code = np.unique([r[m] for r in rows], return_inverse=True)
+        mass = np.bincount(code, tokens, len(values))
+        target = shares({v: t for v, t in zip(values.tolist(), mass.tolist(), strict=True) if t > 0}, given.get(m))
+        margins.append((code, np.array([target.get(v, 0.0) * budget for v in values.tolist()])))
+    p = np.full(len(rows), float(keep))
+    for _ in range(sweeps):
+        off = 0.0
+        for code, target in margins:
+            mass = np.bincount(code, p * tokens, len(target))
+            scale = np.divide(target, mass, out=np.ones_like(target), where=mass > 0)[code]
+            moved = np.minimum(1.0, p * scale)
+            if (some := tokens > 0).any():
+                off = max(off, float(np.abs(moved[some] / np.maximum(p[some], 1e-300) - 1).max()))
+            p = moved
+        if off < tolerance:
+            break
+    return p.tolist()
+
+
+def rake(cells: DataFrame, given: dict[str, dict[str, float]] | None = None, keep: float = KEEP, sweeps: int = SWEEPS, tolerance: float = TOLERANCE, driver_cells: int = DRIVER_CELLS) -> DataFrame:
+    """cells (margins, tokens) with probability."""
+    cells = written(cells, "cells")
+    if cells.count() > driver_cells:
+        return _rake_in_spark(cells, given or {}, keep, sweeps, tolerance)
+    rows = sorted(cells.collect())
+    found = _rake_at_driver(rows, given or {}, keep, sweeps, tolerance) if rows else []
+    return cells.sparkSession.createDataFrame([(*r, p) for r, p in zip(rows, found, strict=True)], "source string, lang string, topic string, tokens long, probability double")
 
 
 def chance() -> Column:
@@ -106,11 +155,11 @@ def mix(docs: DataFrame, given: dict[str, dict[str, float]] | None = None) -> Da
     rows = written(docs.select("doc_id", *margins_of(docs), n.alias("n_tokens"), chance().alias("chance")), "rows")
     cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), given)
     found = rows.join(cells, list(MARGINS))
-    return found.select("doc_id", *MARGINS, "n_tokens", F.col("factor").alias("probability"), (F.col("chance") < F.col("factor")).alias("kept"))
+    return found.select("doc_id", *MARGINS, "n_tokens", "probability", (F.col("chance") < F.col("probability")).alias("kept"))
 
 
 def sample(docs: DataFrame, given: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    cells = rake(cells_of(docs), given).select(*MARGINS, "factor")
+    cells = rake(cells_of(docs), given).select(*MARGINS, "probability")
     row = docs.select(F.struct("*").alias("_row"), *margins_of(docs), chance().alias("chance"))
-    return row.join(cells, list(MARGINS)).where("chance < factor").select("_row.*")
+    return row.join(cells, list(MARGINS)).where("chance < probability").select("_row.*")
