@@ -186,6 +186,9 @@ def test_mixing(spark, edge_docs, edge_rows):
     assert ((p.probability > 0) & (p.probability <= 1)).all()
     ids = {r.doc_id for r in mixing.sample(docs.repartition(7), given).collect()}
     assert ids == set(p[p.kept].doc_id)
+    cells = mixing.cells_of(docs)
+    here, there = ({tuple(r)[:3]: r.probability for r in mixing.rake(cells, given, driver_cells=n).collect()} for n in (100, 0))
+    assert here.keys() == there.keys() and all(there[k] == pytest.approx(v, rel=1e-6) for k, v in here.items())
     assert mixing.mix(edge_docs).count() == len(edge_rows) and mixing.sample(edge_docs).columns == edge_docs.columns
     assert mixing.mix(edge_docs.limit(0)).count() == 0 and mixing.sample(edge_docs.limit(0)).count() == 0
 

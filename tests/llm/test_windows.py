@@ -115,3 +115,17 @@ def test_packing_round_trip(values):
     b = a.astype(np.uint32)
     x, y = exchange.unpack(exchange.pack(a, exchange.deltas(b)), np.int64, np.uint32)
     assert (x == a).all() and (np.cumsum(y, dtype=np.uint32) == b).all()
+
+
+def test_hashes_in_pieces():
+    data = np.frombuffer(bytes(range(97, 123)) * 40, np.uint8)
+    at = np.arange(0, len(data) - 30, 3)
+    whole, cut = rolling.byte_hashes(data, at, at + 30), rolling.byte_hashes(data, at, at + 30, most=64)
+    assert (whole == cut).all() and len(set(whole.tolist())) == 26
+
+
+def test_very_long_text(spark):
+    text = "".join(f"w{i} " for i in range(400_000))
+    docs = spark.createDataFrame([(1, text), (2, text[5000:])], "doc_id long, text string")
+    got = {r.doc_id: r for r in substrings.dedup(docs, texts=False).collect()}
+    assert got[1].n_removed == 0 and got[2].n_removed == got[2].n_words - (text[4999] != " ")

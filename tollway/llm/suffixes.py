@@ -52,7 +52,7 @@ def cover_hasher(length: int, period: int, cover: tuple[int, ...]) -> exchange.H
         doc = np.repeat(np.arange(len(n)), n * len(steps))
         fits = pos < room[doc]
         pos = (pos + at[doc])[fits]
-        return rolling.stretch(rolling.prefix(rolling.BYTE_VALUES[data]), pos, pos + part), pos, at
+        return rolling.byte_hashes(data, pos, pos + part), pos, at
 
     return hashes
 
@@ -74,7 +74,7 @@ def suffix_hasher(length: int, period: int) -> exchange.Hasher:
             first.append(a[some] + at[i])
             n.append((b - a)[some])
         pos = _ramp(np.concatenate(first), np.concatenate(n)) if first else np.zeros(0, np.int64)
-        return rolling.stretch(rolling.prefix(rolling.BYTE_VALUES[data]), pos, pos + length), pos, at
+        return rolling.byte_hashes(data, pos, pos + length), pos, at
 
     return hashes
 
