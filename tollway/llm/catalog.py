@@ -53,4 +53,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op7_quality_rules": sql.OP7.replace("{stop}", " ".join(quality.STOP_WORDS))}
+    return {
+        "op3_decontamination": sql.OP3,
+        "op7_quality_rules": sql.OP7.replace("{stop}", " ".join(quality.STOP_WORDS)),
+        "op8_substring_dedup": sql.OP8,
+        "op9_license_scan": sql.op9(licenses.PHRASES, licenses.TEMPLATES),
+    }

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
+from tollway.llm.common import row_key, written
 
 WINDOW = 13
 SHINGLE = 5
@@ -185,7 +186,8 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
     bad = _matched(docs, benchmark, window, shingle, block_bytes).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    k1, k2 = exchange.row_key(F.col("text"))
+    bad = written(bad, "contaminated")  # a table's size is known, so that a small one is broadcast and texts stay where they are
+    k1, k2 = row_key(F.col("text"))
     row = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), k1.alias("_a"), k2.alias("_b"))
     same = row["_doc"].eqNullSafe(bad["_id"]) & (row["_a"] == bad["_k1"]) & (row["_b"] == bad["_k2"])
     return row.join(bad, same, "left_anti").select("_row.*")

@@ -137,7 +137,8 @@ def rake(cells: DataFrame, given: dict[str, dict[str, float]] | None = None, kee
         return _rake_in_spark(cells, given or {}, keep, sweeps, tolerance)
     rows = sorted(cells.collect())
     found = _rake_at_driver(rows, given or {}, keep, sweeps, tolerance) if rows else []
-    return cells.sparkSession.createDataFrame([(*r, p) for r, p in zip(rows, found, strict=True)], "source string, lang string, topic string, tokens long, probability double")
+    out = cells.sparkSession.createDataFrame([(*r, p) for r, p in zip(rows, found, strict=True)], "source string, lang string, topic string, tokens long, probability double")
+    return written(out, "cells")  # a table's size is known, so that a small one is broadcast
 
 
 def chance() -> Column:

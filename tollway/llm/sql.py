@@ -24,3 +24,55 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     and n_mark_lines / m <= 0.9 as kept, n_lines, n_mark_lines, n_stop_words
 from g
 """
+
+LETTERS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+OP3 = f"""
+with d as (select doc_id, {LETTERS} as w from documents),
+b as (select coalesce(item_id::varchar, 'null') as item, {LETTERS} as w from benchmark),
+bw as (select distinct item, least(len(w), 13) as m, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') as s
+  from (select item, w, unnest(generate_series(1, greatest(len(w) - 13, 0) + 1)) as i from b where len(w) > 0)),
+dw as (select doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') as s
+  from (select doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) as i from d, (select distinct m from bw) where len(w) >= m)),
+hit as (select doc_id, i, m, item from dw join bw using (m, s)),
+words as (select doc_id, count(*) as n from (select distinct doc_id, unnest(generate_series(i, i + m - 1)) as p from hit) group by 1),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as s from (select distinct doc_id, item from hit) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit, coalesce(items.n, 0)::bigint as n_items, sha256(coalesce(items.s, '')) as items_sha256,
+  coalesce(words.n, 0) > 0 and 20 * coalesce(words.n, 0) >= len(w) as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
+OP8 = f"""
+with d as (select doc_id, {WORDS} as w from documents),
+win as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as s from (select doc_id, w, unnest(generate_series(1, len(w) - 49)) as i from d where len(w) >= 50)),
+hit as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by s) as least from win) where least < doc_id),
+gone as (select doc_id, list(distinct p) as p from (select doc_id, unnest(generate_series(i, i + 49)) as p from hit) group by 1),
+runs as (select doc_id, count(*) filter (before is null or i > before + 50) as n from (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from hit) group by 1),
+left_ as (select doc_id, list(x order by i) as kept from (select doc_id, unnest(w) as x, unnest(generate_series(1, len(w))) as i from d) anti join
+  (select doc_id, unnest(p) as i from gone) using (doc_id, i) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(len(p), 0)::bigint as n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256, coalesce(runs.n, 0)::bigint as n_spans
+from d left join gone using (doc_id) left join runs using (doc_id) left join left_ using (doc_id)
+"""
+
+OP9 = f"""
+with d as (select doc_id, {LETTERS} as w from documents),
+t as (select tid, label, whole, {LETTERS} as w from (values {{templates}}) v(tid, label, whole, text)),
+tg as (select tid, label, whole, len(w) - 2 as m, i - 1 as t, array_to_string(w[i:i + 2], ' ') as g from (select *, unnest(generate_series(1, len(w) - 2)) as i from t)),
+dg as (select doc_id, i - 1 as i, array_to_string(w[i:i + 2], ' ') as g from (select *, unnest(generate_series(1, len(w) - 2)) as i from d where len(w) > 2)),
+vote as (select doc_id, tid, label, whole, m, i - t as d, count(distinct t) as votes from dg join tg using (g) group by all),
+part as (select *, sum(case when apart > 3 then 1 else 0 end) over (partition by doc_id, tid order by d) as part
+  from (select *, d - lag(d) over (partition by doc_id, tid order by d) as apart from vote)),
+span as (select doc_id, tid, label, whole, m, sum(votes) as votes, count(*) filter (whole and votes = m) as n_base, min(d) filter (whole and votes = m) as first_word, max(d) filter (whole and votes = m) as last_word
+  from part group by doc_id, tid, label, whole, m, part),
+good as (select *, least(1.0, votes / m) as cover, not whole and least(1.0, votes / m) >= 0.6 as good from span),
+out as (select doc_id, sum(n_base) as n_base, min(first_word) as first_word, max(last_word) as last_word, string_agg(distinct label, ',' order by label) filter (n_base > 0) as base_labels,
+  string_agg(distinct label, ',' order by label) filter (n_base > 0 or good) as labels, max(case when n_base > 0 then 1.0 when not whole then cover end) as score, count(*) filter (good) as n_spans from good group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  coalesce(score, 0)::double as score, coalesce(n_spans, 0)::bigint as n_spans from d left join out using (doc_id)
+"""
+
+
+def op9(phrases: dict[str, str], templates: list[tuple[str, str]]) -> str:
+    rows = [(label, "true", text) for text, label in phrases.items()] + [(label, "false", text) for label, text in templates]
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return OP9.replace("{templates}", ", ".join(f"({i}, {quoted(a)}, {b}, {quoted(c)})" for i, (a, b, c) in enumerate(rows)))
