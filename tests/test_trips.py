@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tollway.config import Segmentation
-from tollway.functions.forest import inliers
+from tollway.functions.forest import inliers, weighted_median
 from tollway.operators import stats, thresholds, trips
 from tollway.streaming.passes import step
 
@@ -150,3 +150,9 @@ def test_gaps_stay_within_a_date(spark):
     rows = [("v", "A", 0), ("v", "B", 60), ("v", "C", 86400), ("w", "A", 5)]
     out = stats.gaps(passes(spark, rows)).collect()
     assert [(r.KKOD, r.time, r.hour) for r in out] == [("A-B", 60.0, 7)]
+
+
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=30))
+def test_weighted_median(values):
+    distinct, counts = np.unique(values, return_counts=True)
+    assert weighted_median(distinct.astype(float), counts) == np.median(values)

@@ -41,24 +41,41 @@ def _tree(sample: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[np.
     return np.sort(np.array(cuts)), np.array(depths)
 
 
-def scores(values: np.ndarray, trees: int, seed: int) -> np.ndarray:
+def scores(values: np.ndarray, counts: np.ndarray, trees: int, seed: int) -> np.ndarray:
+    """Scores of ascending distinct values, of which each stands for as many records as its count."""
     rng = np.random.default_rng(seed)
-    size = min(SAMPLE, len(values))
+    upto = np.cumsum(counts)
+    size = int(min(SAMPLE, upto[-1]))
     limit = math.ceil(math.log2(max(size, 2)))
     total = np.zeros(len(values))
     for _ in range(trees):
-        cuts, depths = _tree(np.sort(rng.choice(values, size, replace=False)), rng, limit)
+        drawn = np.sort(rng.choice(int(upto[-1]), size, replace=False))
+        cuts, depths = _tree(values[np.searchsorted(upto, drawn, "right")], rng, limit)
         total += depths[np.searchsorted(cuts, values, "left")]
     return 2.0 ** (-total / trees / float(mean_depth(size)))
 
 
-def inliers(values: np.ndarray, trees: int, seed: int, name: str = "") -> np.ndarray:
-    """Values that are no outliers; all, if there are two or fewer or if none would be left.
+def inlier_mask(values: np.ndarray, counts: np.ndarray, trees: int, seed: int, name: str = "") -> np.ndarray:
+    """Which of the ascending distinct values are no outliers; all, if there are two records or fewer or none would be left.
 
     The seed is joined with a name, so that results depend on neither partitioning nor order."""
-    if len(values) <= 2:
-        return values
+    if counts.sum() <= 2:
+        return np.ones(len(values), bool)
     own = int.from_bytes(hashlib.blake2b(f"{seed}:{name}".encode(), digest_size=8).digest(), "big")
-    values = np.sort(values)
-    kept = values[scores(values, trees, own) <= 0.5]
-    return kept if len(kept) else values
+    kept = scores(values, counts, trees, own) <= 0.5
+    return kept if kept.any() else np.ones(len(values), bool)
+
+
+def inliers(values: np.ndarray, trees: int, seed: int, name: str = "") -> np.ndarray:
+    """The records that are no outliers, in ascending order."""
+    distinct, counts = np.unique(values, return_counts=True)
+    kept = inlier_mask(distinct, counts, trees, seed, name)
+    return np.repeat(distinct[kept], counts[kept])
+
+
+def weighted_median(values: np.ndarray, counts: np.ndarray) -> float:
+    """Median of records, from ascending distinct values and their counts."""
+    upto = np.cumsum(counts)
+    n = int(upto[-1])
+    low, high = np.searchsorted(upto, [(n - 1) // 2, n // 2], "right")
+    return float(values[low] + values[high]) / 2

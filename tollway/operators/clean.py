@@ -75,27 +75,32 @@ def center_counts(df: DataFrame, checkpoints: DataFrame) -> DataFrame:
     return x.join(ids, "KKBH", "left").agg(F.count("*").alias("total_rows"), F.count("hit").alias("matched_rows"))
 
 
-def conflict_groups(df: DataFrame) -> DataFrame:
-    """Keys with several records: their number and distinct values, a missing one counting as a value, and whether they conflict."""
+def key_groups(df: DataFrame) -> DataFrame:
+    """Each key with its number of records, their distinct values (a missing one counts as a value), and whether they conflict.
+
+    Sets of values, not several distinct counts: those would send each record once for each column."""
     others = ("KKBH", "FZJG", "CLLX", "RLLX")
-    distinct = [(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("long").alias(f"{c}_nunique") for c in others]
-    out = df.groupBy(*KEY).agg(F.count("*").alias("group_size"), *distinct).where("group_size > 1")
-    conflict = F.lit(False)
-    for c in others:
-        conflict = conflict | (F.col(f"{c}_nunique") > 1)
-    return out.withColumn("has_conflict", conflict)
+    distinct = [(F.size(F.collect_set(c)) + F.max(F.col(c).isNull().cast("int"))).cast("long").alias(f"{c}_nunique") for c in others]
+    out = df.groupBy(*KEY).agg(F.count("*").alias("group_size"), *distinct)
+    return out.withColumn("has_conflict", F.greatest(*[f"{c}_nunique" for c in others]) > 1)
+
+
+def conflict_groups(df: DataFrame) -> DataFrame:
+    """Keys with several records."""
+    return key_groups(df).where("group_size > 1")
 
 
 def profile(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
-    """One row: what parsing and dedup remove, and how many duplicate keys conflict."""
-    before = df.agg(F.count("*").alias("before_dropna"))
-    groups = typed(df, formats)
-    after = groups.agg(F.count("*").alias("after_dropna"), F.count_distinct(F.struct(*KEY)).alias("after_dedup"))
-    size = F.when(F.col("has_conflict"), F.col("group_size"))
-    found = conflict_groups(groups).agg(F.count("*").alias("duplicate_group_count"), F.count(size).alias("conflict_group_count"), F.coalesce(F.sum(size), F.lit(0)).alias("conflict_row_count"))
-    one = before.withColumn("_", F.lit(1)).join(after.withColumn("_", F.lit(1)), "_").join(found.withColumn("_", F.lit(1)), "_")
+    """One row: what parsing and dedup remove, and how many duplicate keys conflict. Records are exchanged once."""
+    before = df.agg(F.count("*").alias("before_dropna"), F.lit(1).alias("one"))
+    clash = F.when(F.col("has_conflict") & (F.col("group_size") > 1), F.col("group_size"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    after = key_groups(typed(df, formats)).agg(
+        total(F.col("group_size")).alias("after_dropna"), F.count("*").alias("after_dedup"), F.count_if(F.col("group_size") > 1).alias("duplicate_group_count"),
+        F.count(clash).alias("conflict_group_count"), total(clash).alias("conflict_row_count"), F.lit(1).alias("one"),
+    )
     col = F.col
-    return one.select(
+    return before.join(after, "one").select(
         "before_dropna", "after_dropna", (col("before_dropna") - col("after_dropna")).alias("dropna_removed"), "after_dedup",
         (col("after_dropna") - col("after_dedup")).alias("dedup_removed"), (col("before_dropna") - col("after_dedup")).alias("total_removed"),
         "duplicate_group_count", "conflict_group_count", "conflict_row_count",

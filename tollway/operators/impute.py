@@ -12,6 +12,9 @@ from tollway.config import CLASS_CODES, CLASS_LABELS, FUEL_CODES, FUEL_LABELS, R
 from tollway.functions import exprs as E
 from tollway.operators.clean import KEY, keep_first, require, with_sequence
 
+#: Cells of [0, 1) in which draws meet ranges.
+CELLS = 1024
+
 
 def vehicle_pool(df: DataFrame, r: Rules) -> DataFrame:
     """(CLTMBH, CLLX, RLLX, veh_type, fuel_type): first valid record of each vehicle; codes from labels where a code column is missing."""
@@ -50,8 +53,11 @@ def _ranges(counts: DataFrame, values: list[str]) -> DataFrame:
 
 
 def _draw(devices: DataFrame, ranges: DataFrame, u: Column, values: list[str]) -> DataFrame:
-    # a table of code pairs: as many rows as there are codes
-    return devices.withColumn("u", u).join(F.broadcast(ranges), (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select(*devices.columns, *values)
+    """Each device's range. Both sides meet in cells of [0, 1), so that it is an equi-join, however many ranges there are."""
+    cell = lambda c: F.least(F.floor(c * CELLS), F.lit(CELLS - 1).cast("long"))
+    own = ranges.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
+    x = devices.withColumn("u", u).withColumn("cell", cell(F.col("u")))
+    return x.join(own, "cell").where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select(*devices.columns, *values)
 
 
 def sample_devices(devices: DataFrame, dist: DataFrame, r: Rules) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tollway.config import Segmentation
 from tollway.functions import exprs as E
-from tollway.functions.forest import inliers
+from tollway.functions.forest import inlier_mask, weighted_median
 
 PAIR = ("from_KKBH", "to_KKBH")
 ROWS = "from_KKBH string, to_KKBH string, kkod string, period string, min double, median double, max double"
@@ -47,8 +47,10 @@ def thresholds(gaps: DataFrame, s: Segmentation) -> DataFrame:
 
     def filtered(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("time")
-        kept = inliers(np.repeat(pdf["time"].to_numpy(float), pdf["n"].to_numpy(int)), trees, seed, "-".join(map(str, key)))
-        return pd.DataFrame({"from_KKBH": [key[0]], "to_KKBH": [key[1]], "kkod": [f"{key[0]}-{key[1]}"], "period": [key[2]], "min": [kept.min()], "median": [float(np.median(kept))], "max": [kept.max()]})
+        time, n = pdf["time"].to_numpy(float), pdf["n"].to_numpy(np.int64)
+        kept = inlier_mask(time, n, trees, seed, "-".join(map(str, key)))
+        time, n = time[kept], n[kept]
+        return pd.DataFrame({"from_KKBH": [key[0]], "to_KKBH": [key[1]], "kkod": [f"{key[0]}-{key[1]}"], "period": [key[2]], "min": [time[0]], "median": [weighted_median(time, n)], "max": [time[-1]]})
 
     return whole.unionByName(counted.groupBy(*PAIR, "period").applyInPandas(filtered, ROWS))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -15,8 +16,10 @@ DEFAULTS = {
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
-    """A local session with the defaults above. ``conf`` overrides any of them."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName("tollway").config("spark.driver.memory", memory)
+    """A session with the defaults above, local unless a master is set. ``conf`` overrides any of them."""
+    builder = SparkSession.builder.appName("tollway")
+    if not SparkConf().contains("spark.master"):  # spark-submit names a cluster and its sizes
+        builder = builder.master(f"local[{cores}]").config("spark.driver.memory", memory)
     for key, value in (DEFAULTS | {"spark.sql.shuffle.partitions": str(partitions)} | conf).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
