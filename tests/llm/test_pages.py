@@ -42,7 +42,7 @@ def test_held_out_accuracy():
         got = model.decode(model.scores(extract.features(extract.blocks("".join(page.html)))))
         right += sum(a == b for a, (_, b) in zip(got, page.blocks, strict=True))
         total += len(got)
-    assert right / total > 0.95
+    assert right / total > 0.98
 
 
 def test_query(spark):

@@ -21,7 +21,7 @@ from tollway.llm import pages, rolling
 from tollway.llm.common import small_batches
 
 #: Labelled pages that the field is trained on, and passes over them.
-PAGES, PASSES, RATE, DECAY = 500, 150, 0.1, 1e-3
+PAGES, PASSES, RATE, DECAY = 800, 250, 0.1, 1e-4
 
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(script|style|noscript|template|svg|textarea|select|iframe|title)\b.*?(?:</\1\s*>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>)""", re.DOTALL | re.IGNORECASE)
 # Block-level elements, and those that can't hold others.
@@ -29,6 +29,8 @@ BLOCKS = set("address article aside blockquote body button caption center dd det
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag that ends an open element of the same kind.
 CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "td", "th", "p")}
+#: Elements that stand beside an article.
+SIDE = {"<nav", "<header", "<footer", "<aside", "<form"}
 NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -110,8 +112,11 @@ def features(page: list[tuple[str, frozenset[str], int]]) -> list[list[str]]:
             own.append("rights")
         if i == len(page) - 1:
             own.append("last")
+        named = any(x[0] == "." for x in names)
         if not ({"<article", "<main"} & names):
-            own.append("outside")
+            own.append("outside" if named or SIDE & names else "bare")
+        if "<article" in names and not named:
+            own.append("plain article")
         out.append(own)
     return out
 
