@@ -17,8 +17,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies stays: copies, and texts that share 0.8 of their five-word shingles."""
+    return simhash.keep_one(docs, **simhash.NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

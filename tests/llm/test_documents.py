@@ -139,6 +139,37 @@ def test_dense_groups_lose_no_link(spark):
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_blocks_find_every_link(spark):
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+    flips = [sum(1 << int(k) for k in rng.choice(64, rng.integers(1, 10), replace=False)) for _ in range(240)]
+    fp = np.unique(np.concatenate([base, base[rng.integers(0, 120, 240)] ^ np.array(flips, np.uint64), rng.integers(0, 2**63, 600, dtype=np.uint64)]))
+    i, j = np.triu_indices(len(fp), 1)
+    close = np.bitwise_count(fp[i] ^ fp[j]) <= 7
+    want = simhash.roots(len(fp), i[close], j[close])
+    table = spark.createDataFrame([(int(v),) for v in fp.view(np.int64)], "fp long")
+    label = {int(v): int(v) for v in fp.view(np.int64)} | {r.u: r.v for r in simhash.components(simhash.links(table, 7, chunk=128, blocks=4)).collect()}
+    groups = {}
+    for k, v in enumerate(fp.view(np.int64)):
+        groups.setdefault(want[k], set()).add(label[int(v)])
+    assert close.sum() > 100 and all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+def test_near_copies_of_the_pipeline(spark):
+    """Most texts that share 0.82 of their five-word shingles become one (scattered changes are the hardest); unrelated texts of the same words stay."""
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}" for a in ("stone", "river", "cloud", "the", "of", "and", "run", "seven") for b in ("", "s", "ing", "er", "ed", "ly")]
+    base = [rng.choice(words, 300).tolist() for _ in range(30)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base[:20]):
+        copy = list(w)
+        for at in rng.choice(300, 6, replace=False):
+            copy[at] = "changed"
+        rows.append((100 + i, " ".join(copy)))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), **simhash.NEAR).collect()}
+    assert set(range(30)) <= kept and len(kept - set(range(30))) <= 5
+
+
 def test_long_chains(spark):
     chain = spark.createDataFrame([(int(a), int(b)) for a, b in zip(range(300), range(1, 301), strict=True)], "u long, v long")
     assert {r.v for r in simhash.components(chain).collect()} == {0}

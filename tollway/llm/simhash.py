@@ -27,6 +27,8 @@ from tollway.llm.common import partitions, written
 SHINGLE = 3
 BITS = 2
 SEED = 42
+#: For documents that share 0.8 of their five-word shingles: two-word fingerprints, bits that may differ, blocks of bits.
+NEAR = {"shingle": 2, "budget": 7, "blocks": 4}
 #: Fingerprints of a node that one task takes; and pairs that are compared at once without walking on.
 CHUNK = 4096
 LEAF = 64
@@ -80,9 +82,10 @@ def _expand(a0, a1, b0, b1):
     return np.repeat(a0, n) + k // nb_, np.repeat(b0, n) + k % nb_
 
 
-def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of sorted fingerprints a and b that differ in `budget` bits or fewer; those of a share their first
-    `depth` bits, and so do those of b."""
+def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int, block: int = 64, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sorted fingerprints a and b that differ in `budget` bits or fewer, and in `first` of their first
+    `block` bits; those of a share their first `depth` bits, and so do those of b."""
+    first = budget if first is None else first
     mask = np.uint64(((1 << depth) - 1) << (64 - depth))
     pa_, pb = a[:1] & mask, b[:1] & mask
     bound = lambda n: (np.zeros(1, np.int64), np.full(1, n, np.int64))
@@ -92,7 +95,7 @@ def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int) -> tuple[np.ndar
     for level in range(depth, 65):
         leaf = (a1 - a0) * (b1 - b0) <= LEAF if level < 64 else np.ones(len(a0), bool)
         i, j = _expand(a0[leaf], a1[leaf], b0[leaf], b1[leaf])
-        near = np.bitwise_count(a[i] ^ b[j]) <= budget
+        near = np.bitwise_count(a[i] ^ b[j]) <= budget  # a leaf may find links that the first block rules out: they are links
         left.append(i[near])
         right.append(j[near])
         a0, a1, b0, b1, pa_, pb, spent = (x[~leaf] for x in (a0, a1, b0, b1, pa_, pb, spent))
@@ -102,7 +105,7 @@ def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int) -> tuple[np.ndar
         am, bm = np.searchsorted(a, pa_ | bit), np.searchsorted(b, pb | bit)
         parts = [(a0, am, b0, bm, pa_, pb, spent), (am, a1, bm, b1, pa_ | bit, pb | bit, spent), (a0, am, bm, b1, pa_, pb | bit, spent + 1), (am, a1, b0, bm, pa_ | bit, pb, spent + 1)]
         a0, a1, b0, b1, pa_, pb, spent = (np.concatenate(x) for x in zip(*parts, strict=True))
-        alive = (spent <= budget) & (a1 > a0) & (b1 > b0)
+        alive = (spent <= (first if level < block else budget)) & (a1 > a0) & (b1 > b0)
         a0, a1, b0, b1, pa_, pb, spent = (x[alive] for x in (a0, a1, b0, b1, pa_, pb, spent))
     return np.concatenate(left), np.concatenate(right)
 
@@ -121,47 +124,57 @@ def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return top
 
 
-def _links(depth: int, budget: int):
+def turned(fp: np.ndarray, by: int) -> np.ndarray:
+    """Fingerprints with their bits turned to the left."""
+    return fp if by % 64 == 0 else (fp << np.uint64(by % 64)) | (fp >> np.uint64(64 - by % 64))
+
+
+def _links(depth: int, budget: int, block: int, first: int):
     def links(batches):
         for batch in batches:
-            for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
-                a = np.sort(one.values.to_numpy().view(np.uint64)) if one.is_valid else np.zeros(0, np.uint64)
-                b = np.sort(two.values.to_numpy().view(np.uint64)) if two.is_valid and len(two) else np.zeros(0, np.uint64)
-                if not len(a) or not len(b):
-                    continue
-                i, j = walk(a, b, depth, budget)
+            for turn, one, two in zip(batch.column("turn").to_pylist(), batch.column("one"), batch.column("two"), strict=True):
+                a, b = (np.sort(turned(x.values.to_numpy().view(np.uint64), turn)) for x in (one, two))
+                i, j = walk(a, b, depth, budget, block, first)
                 both = np.unique(np.concatenate([a, b]))
                 top = roots(len(both), np.searchsorted(both, a[i]), np.searchsorted(both, b[j]))
                 far = np.flatnonzero(top != np.arange(len(both)))
                 if len(far):
-                    yield pa.RecordBatch.from_arrays([pa.array(both[far].view(np.int64)), pa.array(both[top[far]].view(np.int64))], names=["u", "v"])
+                    u, v = turned(both[far], 64 - turn), turned(both[top[far]], 64 - turn)
+                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
     return links
 
 
-def links(prints: DataFrame, budget: int = BITS, chunk: int = CHUNK) -> DataFrame:
-    """(u, v): edges that connect whatever distinct fingerprints are linked, through others or not."""
+def links(prints: DataFrame, budget: int = BITS, chunk: int = CHUNK, blocks: int = 1) -> DataFrame:
+    """(u, v): edges that connect whatever distinct fingerprints are linked, through others or not.
+
+    A large budget would leave the top of the trie unpruned. Then the bits are cut into `blocks`: of `budget` errors,
+    one block has budget // blocks at most, so a trie for each block, with its bits on top and that smaller budget
+    for them, finds every link."""
+    block, first = 64 // blocks, budget // blocks
     own = written(prints.select("fp").distinct(), "prints")
     n = own.count()
-    depth = max(1, (n // (chunk // 4)).bit_length())
-    masks = [sum(1 << i for i in c) for k in range(budget + 1) for c in combinations(range(depth), k)]
+    depth = min(block, max(1, (n // (chunk // 4)).bit_length()))
+    masks = [sum(1 << i for i in c) for k in range(first + 1) for c in combinations(range(depth), k)]
     # the small table may lie in one file: it is dealt out before it is multiplied
-    own = own.repartition(partitions(own.sparkSession)).withColumn("node", F.shiftrightunsigned("fp", 64 - depth))
-    cuts = own.groupBy("node").agg(F.ceil(F.count("*") / chunk).cast("int").alias("cuts"))
-    # as many nodes as 2^depth, that is about 4 n / chunk
+    own = own.repartition(partitions(own.sparkSession)).withColumn("turn", F.explode(F.array(*[F.lit(block * i) for i in range(blocks)])))
+    top = F.expr("if(turn = 0, fp, shiftleft(fp, turn) | shiftrightunsigned(fp, 64 - turn))")
+    own = own.withColumn("node", F.shiftrightunsigned(top, 64 - depth))
+    cuts = own.groupBy("turn", "node").agg(F.ceil(F.count("*") / chunk).cast("int").alias("cuts"))
+    # as many nodes as 2^depth for each block, that is about 4 n / chunk
     cuts = written(cuts, "nodes")
-    mine = own.join(cuts, "node").withColumn("cut", F.pmod(F.xxhash64("fp"), "cuts").cast("int")).drop("cuts")
+    mine = own.join(cuts, ["turn", "node"]).withColumn("cut", F.pmod(F.xxhash64("fp"), "cuts").cast("int")).drop("cuts")
     mine = mine.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))).withColumn("other", F.col("node").bitwiseXOR(F.col("mask")))
-    pair = mine.join(cuts.select(F.col("node").alias("other"), "cuts"), "other")
+    pair = mine.join(cuts.select("turn", F.col("node").alias("other"), "cuts"), ["turn", "other"])
     pair = pair.withColumn("far", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     same, low = F.col("node") == F.col("other"), F.col("node") < F.col("other")
     flip = F.when(same, F.col("cut") > F.col("far")).otherwise(~low)
     key = [F.least("node", "other").alias("p"), F.greatest("node", "other").alias("q"), F.when(flip, F.col("far")).otherwise(F.col("cut")).alias("i"), F.when(flip, F.col("cut")).otherwise(F.col("far")).alias("j")]
     alone = same & (F.col("cut") == F.col("far"))
-    side = pair.select("fp", *key, flip.alias("flip"), alone.alias("alone"))
-    task = side.groupBy("p", "q", "i", "j").agg(F.collect_list(F.when(~F.col("flip") | F.col("alone"), F.col("fp"))).alias("one"), F.collect_list(F.when(F.col("flip") | F.col("alone"), F.col("fp"))).alias("two"))
-    task = task.where((F.size("one") > 0) & (F.size("two") > 0)).select("one", "two")
-    return task.mapInArrow(_links(depth, budget), "u long, v long")
+    side = pair.select("fp", "turn", *key, flip.alias("flip"), alone.alias("alone"))
+    task = side.groupBy("turn", "p", "q", "i", "j").agg(F.collect_list(F.when(~F.col("flip") | F.col("alone"), F.col("fp"))).alias("one"), F.collect_list(F.when(F.col("flip") | F.col("alone"), F.col("fp"))).alias("two"))
+    task = task.where((F.size("one") > 0) & (F.size("two") > 0)).select("turn", "one", "two")
+    return task.mapInArrow(_links(depth, budget, block, first), "u long, v long")
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -189,11 +202,11 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
 
 
-def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS) -> DataFrame:
+def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks: int = 1) -> DataFrame:
     """doc_id, k1, k2, fp, component_id and component (its smallest fingerprint) of each document."""
     prints = written(fingerprints(docs, shingle), "documents")
     own = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "own")
-    stars = components(links(own, budget))
+    stars = components(links(own, budget, blocks=blocks))
     top = own.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select("fp", F.coalesce("v", "fp").alias("component"), "least")
     top = written(top, "top")
     names = written(top.groupBy("component").agg(F.min("least").alias("component_id")), "names")
@@ -206,9 +219,9 @@ def link(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS) -> DataFra
     return grouped(docs, shingle, budget).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks: int = 1) -> DataFrame:
     """One document of each component, that of the smallest doc_id (null ids last), with its own columns."""
-    rows = grouped(docs, shingle, budget).select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
+    rows = grouped(docs, shingle, budget, blocks).select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
     best = rows.groupBy("component").agg(F.min(F.struct("id", "k1", "k2")).alias("best")).select("best.*")
     best = written(best, "best")
     same = rows.groupBy("id", "k1", "k2").count().where("count > 1").limit(1).count() > 0
