@@ -1,8 +1,8 @@
 """Streaming forms of the batch operators, an extension: dedup of passes, and trips as they close.
 
-State per vehicle is a trip number, the time last kept, the point before, and the points of the open trip; a trip is
-emitted when the sequential rule closes it, so what is open stays open, as in batch. A vehicle that is silent for
-longer than the cap can't continue its trip: its state is emitted and dropped."""
+State per vehicle is the pass before, how many passes there were, and the points of the open trip; a trip is emitted
+when the sequential rule closes it. A vehicle that is silent for longer than the cap can't continue its trip: the trip
+is emitted then, as the vehicle's next pass would close it. Batch, which knows that no pass follows, loses that trip."""
 
 from __future__ import annotations
 
