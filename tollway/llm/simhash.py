@@ -13,6 +13,7 @@ it has no other. Equal rows get equal results, one each. Extra columns are not r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,6 +33,8 @@ NEAR = {"shingle": 2, "budget": 7, "blocks": 4}
 #: Fingerprints of a node that one task takes; and pairs that are compared at once without walking on.
 CHUNK = 4096
 LEAF = 64
+#: Node pairs that are walked at once.
+PAIRS = 1 << 15
 PRINTS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("fp", pa.int64())])
 LARGEST = exchange.LARGEST
 
@@ -82,32 +85,33 @@ def _expand(a0, a1, b0, b1):
     return np.repeat(a0, n) + k // nb_, np.repeat(b0, n) + k % nb_
 
 
-def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int, block: int = 64, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of sorted fingerprints a and b that differ in `budget` bits or fewer, and in `first` of their first
+def walk(a: np.ndarray, b: np.ndarray, depth: int, budget: int, block: int = 64, first: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of index pairs of sorted fingerprints a and b that differ in `budget` bits or fewer, and in `first` of their first
     `block` bits; those of a share their first `depth` bits, and so do those of b."""
     first = budget if first is None else first
     mask = np.uint64(((1 << depth) - 1) << (64 - depth))
     pa_, pb = a[:1] & mask, b[:1] & mask
-    bound = lambda n: (np.zeros(1, np.int64), np.full(1, n, np.int64))
-    (a0, a1), (b0, b1) = bound(len(a)), bound(len(b))
-    spent = np.bitwise_count(pa_ ^ pb).astype(np.int64)
-    left, right = [], []
-    for level in range(depth, 65):
-        leaf = (a1 - a0) * (b1 - b0) <= LEAF if level < 64 else np.ones(len(a0), bool)
+    zero = np.zeros(1, np.int64)
+    # levels with their node pairs: ranges in a and b, both prefixes, bits spent; taken depth first, so that few are held
+    stack = [(depth, (zero, zero + len(a), zero, zero + len(b), pa_, pb, np.bitwise_count(pa_ ^ pb).astype(np.int64)))]
+    while stack:
+        level, (a0, a1, b0, b1, pa_, pb, spent) = stack.pop()
+        leaf = (a1 - a0) * (b1 - b0) <= LEAF
         i, j = _expand(a0[leaf], a1[leaf], b0[leaf], b1[leaf])
         near = np.bitwise_count(a[i] ^ b[j]) <= budget  # a leaf may find links that the first block rules out: they are links
-        left.append(i[near])
-        right.append(j[near])
+        if near.any():
+            yield i[near], j[near]
+        if leaf.all():
+            continue
         a0, a1, b0, b1, pa_, pb, spent = (x[~leaf] for x in (a0, a1, b0, b1, pa_, pb, spent))
-        if not len(a0):
-            break
         bit = np.uint64(1 << (63 - level))
         am, bm = np.searchsorted(a, pa_ | bit), np.searchsorted(b, pb | bit)
         parts = [(a0, am, b0, bm, pa_, pb, spent), (am, a1, bm, b1, pa_ | bit, pb | bit, spent), (a0, am, bm, b1, pa_, pb | bit, spent + 1), (am, a1, b0, bm, pa_ | bit, pb, spent + 1)]
         a0, a1, b0, b1, pa_, pb, spent = (np.concatenate(x) for x in zip(*parts, strict=True))
-        alive = (spent <= (first if level < block else budget)) & (a1 > a0) & (b1 > b0)
-        a0, a1, b0, b1, pa_, pb, spent = (x[alive] for x in (a0, a1, b0, b1, pa_, pb, spent))
-    return np.concatenate(left), np.concatenate(right)
+        alive = np.flatnonzero((spent <= (first if level < block else budget)) & (a1 > a0) & (b1 > b0))
+        for k in range(0, len(alive), PAIRS):
+            some = alive[k : k + PAIRS]
+            stack.append((level + 1, tuple(x[some] for x in (a0, a1, b0, b1, pa_, pb, spent))))
 
 
 def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -134,10 +138,15 @@ def _links(depth: int, budget: int, block: int, first: int):
         for batch in batches:
             for turn, one, two in zip(batch.column("turn").to_pylist(), batch.column("one"), batch.column("two"), strict=True):
                 a, b = (np.sort(turned(x.values.to_numpy().view(np.uint64), turn)) for x in (one, two))
-                i, j = walk(a, b, depth, budget, block, first)
                 both = np.unique(np.concatenate([a, b]))
-                top = roots(len(both), np.searchsorted(both, a[i]), np.searchsorted(both, b[j]))
-                far = np.flatnonzero(top != np.arange(len(both)))
+                in_a, in_b = np.searchsorted(both, a), np.searchsorted(both, b)
+                top, far = np.arange(len(both)), np.zeros(0, np.int64)
+                for i, j in walk(a, b, depth, budget, block, first):
+                    u, v = in_a[i], in_b[j]
+                    new = top[u] != top[v]
+                    if new.any():  # the forest so far and what it lacks
+                        top = roots(len(both), np.r_[far, u[new]], np.r_[top[far], v[new]])
+                        far = np.flatnonzero(top != np.arange(len(both)))
                 if len(far):
                     u, v = turned(both[far], 64 - turn), turned(both[top[far]], 64 - turn)
                     yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
