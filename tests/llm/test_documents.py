@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -122,6 +123,13 @@ def test_simhash(edge_docs, edge_rows):
     assert simhash.link(edge_docs.limit(0)).count() == 0 and simhash.keep_one(edge_docs.limit(0)).count() == 0
 
 
+def test_fingerprints_in_pieces(monkeypatch):
+    texts = pa.array(["a b c d e f g", None, "", "x", "one two three four", "  ", "a b c d e f g h i j k l m n o p"])
+    whole = simhash.fingerprints_of(texts, 3)
+    monkeypatch.setattr(simhash, "HASHES", 3)
+    assert (simhash.fingerprints_of(texts, 3) == whole).all() and whole[1] == whole[2] == whole[5] == 0
+
+
 def test_dense_groups_lose_no_link(spark):
     rng = np.random.default_rng(1)
     centre = rng.integers(0, 2**63, 30, dtype=np.uint64)

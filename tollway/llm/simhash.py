@@ -33,8 +33,9 @@ NEAR = {"shingle": 2, "budget": 7, "blocks": 4}
 #: Fingerprints of a node that one task takes; and pairs that are compared at once without walking on.
 CHUNK = 4096
 LEAF = 64
-#: Node pairs that are walked at once.
+#: Node pairs that are walked at once, and hashes whose bits are counted at once.
 PAIRS = 1 << 15
+HASHES = 1 << 17
 PRINTS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("fp", pa.int64())])
 LARGEST = exchange.LARGEST
 
@@ -56,13 +57,14 @@ def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
     right = np.minimum(left + shingle, np.repeat(first[1:], many)) - 1
     digest = xxhash.xxh64_intdigest
     h = np.fromiter((digest(text[a:b], SEED) for a, b in zip(begin[left].tolist(), (begin + size)[right].tolist(), strict=True)), np.uint64, len(left))
-    out = np.zeros(len(n), np.uint64)
-    some = np.flatnonzero(many)
-    if len(some):
-        bit = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bit, (np.cumsum(many) - many)[some], axis=0, dtype=np.int32)
-        out[some] = np.packbits(2 * ones > many[some, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
+    ones = np.zeros((len(n), 64), np.int64)
+    end = np.cumsum(many)
+    for k in range(0, len(h), HASHES):
+        bit = np.unpackbits(h[k : k + HASHES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own = np.arange(np.searchsorted(end, k, "right"), np.searchsorted(end, k + len(bit) - 1, "right") + 1)
+        own = own[many[own] > 0]
+        ones[own] += np.add.reduceat(bit, np.maximum((end - many)[own] - k, 0), axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > many[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
