@@ -178,6 +178,32 @@ def test_near_copies_of_the_pipeline(spark):
     assert set(range(30)) <= kept and len(kept - set(range(30))) <= 5
 
 
+def test_pipeline_links_are_pairs_at_the_share(spark):
+    """Components of the pairs at 0.8 of the five-word shingles, by brute force: short and long texts, chains, shared passages, a crowd."""
+    rng = np.random.default_rng(12)
+    words = [f"{a}{b}" for a in ("stone", "river", "cloud", "the", "of", "and", "run", "seven") for b in ("", "s", "ing", "er", "ed", "ly")]
+    base = [rng.choice(words, int(rng.integers(30, 400))).tolist() for _ in range(40)]
+    base += [[*b[:20], *rng.choice(words, 60).tolist()] for b in base[:10] for _ in range(3)]
+    texts = [*base, [], ["one"], ["one"], ["one", "two"]]
+    for w in base[:40]:
+        for _ in range(4):
+            copy = list(w)
+            for at in rng.choice(len(w), max(1, int(len(w) * rng.uniform(0.005, 0.04))), replace=False):
+                copy[at] = f"x{rng.integers(0, 9)}"
+            texts.append(copy)
+    for at in range(60):
+        texts.append([*base[0][:at], "y", *base[0][at + 1 :]])
+    chain = base[1]
+    for k in range(12):
+        chain = [*chain[len(base[1]) // 12 :], *rng.choice(words, len(base[1]) // 12).tolist()]
+        texts.append(chain)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1 if w else 0))) for w in texts]
+    u, v = zip(*[(i, j) for i in range(len(sets)) for j in range(i) if sets[i] == sets[j] or (sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))], strict=True)
+    want = set(simhash.roots(len(sets), np.array(u), np.array(v)).tolist())
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(docs, **simhash.NEAR).collect()} == want and len(want) < len(texts)
+
+
 def test_long_chains(spark):
     chain = spark.createDataFrame([(int(a), int(b)) for a, b in zip(range(300), range(1, 301), strict=True)], "u long, v long")
     assert {r.v for r in simhash.components(chain).collect()} == {0}

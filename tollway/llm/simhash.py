@@ -28,8 +28,8 @@ from tollway.llm.common import partitions, written
 SHINGLE = 3
 BITS = 2
 SEED = 42
-#: For documents that share 0.8 of their five-word shingles: two-word fingerprints, bits that may differ, blocks of bits.
-NEAR = {"shingle": 2, "budget": 7, "blocks": 4}
+#: For documents that share 0.8 of their five-word shingles: fingerprints of them, bits that may differ, blocks of bits, and that share.
+NEAR = {"shingle": 5, "budget": 7, "blocks": 4, "share": 0.8}
 #: Fingerprints of a node that one task takes; and pairs that are compared at once without walking on.
 CHUNK = 4096
 LEAF = 64
@@ -40,8 +40,8 @@ PRINTS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64(
 LARGEST = exchange.LARGEST
 
 
-def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
-    """64-bit fingerprints of texts: a bit is 1 if it is 1 in over half of the shingles' hashes."""
+def hashes_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of texts, and how many each text has."""
     data, at = rolling.texts(column)
     data = rolling.TO_LOWER[data]
     start, end, first = rolling.words(data, at, ~rolling.IS_BLANK)
@@ -56,8 +56,16 @@ def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
     left = np.repeat(first[:-1] - (np.cumsum(many) - many), many) + np.arange(many.sum())
     right = np.minimum(left + shingle, np.repeat(first[1:], many)) - 1
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(text[a:b], SEED) for a, b in zip(begin[left].tolist(), (begin + size)[right].tolist(), strict=True)), np.uint64, len(left))
-    ones = np.zeros((len(n), 64), np.int64)
+    return np.fromiter((digest(text[a:b], SEED) for a, b in zip(begin[left].tolist(), (begin + size)[right].tolist(), strict=True)), np.uint64, len(left)), many
+
+
+def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
+    """64-bit fingerprints of texts: a bit is 1 if it is 1 in over half of the shingles' hashes."""
+    return majorities(*hashes_of(column, shingle))
+
+
+def majorities(h: np.ndarray, many: np.ndarray) -> np.ndarray:
+    ones = np.zeros((len(many), 64), np.int64)
     end = np.cumsum(many)
     for k in range(0, len(h), HASHES):
         bit = np.unpackbits(h[k : k + HASHES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -230,9 +238,17 @@ def link(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS) -> DataFra
     return grouped(docs, shingle, budget).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks: int = 1) -> DataFrame:
-    """One document of each component, that of the smallest doc_id (null ids last), with its own columns."""
-    rows = grouped(docs, shingle, budget, blocks).select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks: int = 1, share: float | None = None) -> DataFrame:
+    """One document of each component, that of the smallest doc_id (null ids last), with its own columns.
+
+    With a share, the links are the pairs whose shingle sets have that share in common (see ``overlaps``)."""
+    if share is None:
+        own = grouped(docs, shingle, budget, blocks)
+    else:
+        from tollway.llm import overlaps
+
+        own = overlaps.grouped(docs, shingle, budget, blocks, share)
+    rows = own.select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
     best = rows.groupBy("component").agg(F.min(F.struct("id", "k1", "k2")).alias("best")).select("best.*")
     best = written(best, "best")
     same = rows.groupBy("id", "k1", "k2").count().where("count > 1").limit(1).count() > 0
