@@ -75,6 +75,27 @@ def test_license_spans(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_license_notices_are_told_apart(spark):
+    """Short notices count; order, distinguishing words and the better template decide."""
+    nc = "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License"
+    w = dict(licenses.TEMPLATES)["bsd"].split()
+    halves = " ".join(x for k in range(0, len(w), 4) for x in reversed([" ".join(w[k : k + 2]), " ".join(w[k + 2 : k + 4])]))
+    texts = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl", "It is licensed under the GNU Lesser General Public License.": "lgpl",
+        "It is licensed under the GNU Affero General Public License.": "", nc: "cc-by-nc", nc.replace("NonCommercial", "ShareAlike"): "cc-by-sa",
+        "Licensed under the Apache License, Version 1.1": "", dict(licenses.TEMPLATES)["apache-2"]: "apache-2", halves: "", "licensed under the BSD license, later licensed under the MIT license": "bsd,mit",
+    }
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == dict(enumerate(texts.values()))
+    assert next(r for r in got if r.doc_id == 6).n_spans == 1
+    # one window on each of several neighbouring diagonals is one position
+    text = "permission is hereby x permission is hereby x permission is hereby"
+    one = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), {}, [("t", "permission is hereby granted free")]).first()
+    assert one.labels == "" and one.score == pytest.approx(1 / 3)
+    again = licenses.scan(spark.createDataFrame([(1, "a b c a b c a b c")], "doc_id long, text string"), {}, [("t", "a b c d e f")]).first()
+    assert again.labels == "" and again.score == pytest.approx(1 / 4)
+
+
 def test_secrets(edge_docs, edge_rows):
     want = []
     for d, t, *_ in edge_rows:

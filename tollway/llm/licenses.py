@@ -2,8 +2,10 @@
 
 All rolling three-word hashes of the documents are joined to the positions of the same hashes in license
 templates; hits vote for a diagonal (document position minus template position); neighbouring diagonals, which
-a few added or dropped words set apart, are merged; a merged group is a label when enough of the template's
-words are verified, word by word, in order. Phrases are templates that must stand complete on one diagonal.
+a few added or dropped words set apart, are merged; a merged group counts by the longest chain of hits that ascend
+in document and template, and is a label when the chain covers enough of the template, the words that tell its
+license from others are among the hits, and no span that overlaps it covers its own template better. Phrases are
+templates that must stand complete on one diagonal.
 
 Nulls: a null text has no words. A document without hits has empty labels and score 0. Repeated rows get equal
 results, one each. Extra columns are not read."""
@@ -26,8 +28,17 @@ COVER = 0.6
 # Phrases that label a document wherever they stand.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Openings and notices of public licenses.
+# One-line notices, openings and long notices of public licenses.
 TEMPLATES = [
+    ("gpl", "licensed under the GNU General Public License"),
+    ("lgpl", "licensed under the GNU Lesser General Public License"),
+    ("mit", "licensed under the MIT License"),
+    ("bsd", "licensed under the BSD License"),
+    ("apache-2", "Licensed under the Apache License, Version 2.0"),
+    ("mpl-2", "licensed under the Mozilla Public License, v. 2.0"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("unlicense", "released under the Unlicense"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
@@ -39,6 +50,13 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
 ]
 
+# Windows that tell a license from others; a span has those that stand in its template.
+NEEDED = {
+    "mit": ("the mit license",), "bsd": ("the bsd license",), "apache-2": ("apache license version", "license version 2"), "mpl-2": ("mozilla public license", "license v 2"),
+    "gpl": ("gnu general public", "general public license"), "lgpl": ("gnu lesser general", "general public license"), "unlicense": ("under the unlicense",),
+    "cc-by-nc": ("commons attribution noncommercial", "cc by nc"), "cc-by-sa": ("commons attribution sharealike", "cc by sa"),
+}
+
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -53,11 +71,25 @@ def grams(w: Column) -> Column:
 
 
 def template_grams(spark: SparkSession, phrases: dict[str, str], templates: list[tuple[str, str]]) -> DataFrame:
-    """hash, g (its words), tid, label, whole (phrase), m (windows), t (position); as many rows as the templates have windows."""
+    """hash, g (its words), tid, label, whole (phrase), m (windows), t (position), need (in NEEDED), needs (how many are); as many rows as the templates have windows."""
     rows = [(i, label, whole, text) for i, (label, whole, text) in enumerate([(v, True, k) for k, v in phrases.items()] + [(a, False, b) for a, b in templates])]
     df = spark.createDataFrame(rows, "tid int, label string, whole boolean, text string").withColumn("w", words(F.col("text")))
     df = df.select("tid", "label", "whole", (F.size("w") - K + 1).alias("m"), "w", F.posexplode(grams(F.col("w"))).alias("t", "hash"))
-    return df.select("hash", F.slice("w", F.col("t") + 1, F.lit(K)).alias("g"), "tid", "label", "whole", "m", "t")
+    df = df.select("hash", F.slice("w", F.col("t") + 1, F.lit(K)).alias("g"), "tid", "label", "whole", "m", "t")
+    df = df.withColumn("need", F.concat_ws(" ", "label", F.array_join("g", " ")).isin([f"{k} {g}" for k, v in NEEDED.items() for g in v]))
+    return df.withColumn("needs", F.count_if("need").over(W.partitionBy("tid")))
+
+
+def chain(hits: Column) -> Column:
+    """Length of the longest chain of hits (i, back, ..), sorted, in which i ascends and back descends strictly."""
+
+    # ends: of each length, the smallest template position that a chain of that length ends with
+    def step(ends: Column, hit: Column) -> Column:
+        t = -hit["back"]
+        n = F.size(F.filter(ends, lambda e: e < t))
+        return F.concat(F.slice(ends, F.lit(1), n), F.array(t), F.slice(ends, n + 2, F.size(ends)))
+
+    return F.size(F.aggregate(hits, F.array().cast("array<int>"), step))
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -73,8 +105,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tup
     key = ["doc_id", "k1", "k2"]
     vote = hit.withColumn("d", F.col("i") - F.col("t")).groupBy(*key, "tid", "d").agg(
         F.first("label").alias("label"), F.first("whole").alias("whole"), F.first("m").alias("m"), F.max("n_words").alias("n_words"),
-        F.count_if(F.col("hash").isNull()).alias("copies"), F.count_distinct("t").alias("votes"),
-        F.min("t").alias("t0"), F.max("t").alias("t1"),
+        F.first("needs").alias("needs"), F.count_if(F.col("hash").isNull()).alias("copies"), F.count_distinct("t").alias("votes"),
+        F.collect_set(F.when(~F.col("whole"), F.struct("i", (-F.col("t")).alias("back"), "need"))).alias("hits"),
     )
     by = W.partitionBy(*key, "tid").orderBy("d")
     apart = F.col("d") - F.lag("d").over(by)
@@ -83,11 +115,18 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tup
     place = F.col("whole") & (F.col("votes") == F.col("m"))
     span = part.groupBy(*key, "tid", "part").agg(
         F.first("label").alias("label"), F.first("whole").alias("whole"), F.first("m").alias("m"), F.max("n_words").alias("n_words"),
-        F.sum("copies").alias("copies"), F.sum("votes").alias("votes"), F.max("t1").alias("t1"), F.min("t0").alias("t0"),
+        F.first("needs").alias("needs"), F.sum("copies").alias("copies"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.count_if(place).alias("n_base"), F.min(F.when(place, F.col("d"))).alias("first_word"), F.max(F.when(place, F.col("d"))).alias("last_word"),
     )
-    cover = F.least(F.lit(1.0), F.col("votes") / F.col("m"))
-    good = ~F.col("whole") & (cover >= COVER)
+    span = span.withColumn("cover", chain(F.col("hits")) / F.col("m"))
+    present = F.size(F.array_distinct(F.transform(F.filter("hits", lambda x: x["need"]), lambda x: x["back"]))) == F.col("needs")
+    sure = ~F.col("whole") & (F.col("cover") >= COVER) & present
+    rank = F.when(sure, F.struct("cover", "m", (-F.col("tid")).alias("tid"), F.array_min("hits")["i"].alias("start"), F.array_max("hits")["i"].alias("end")))
+    span = span.withColumn("rank", rank).withColumn("ranks", F.collect_list("rank").over(W.partitionBy(*key)))
+    beaten = F.exists("ranks", lambda x: (x > F.col("rank")) & (x["tid"] != F.col("rank.tid")) & (x["start"] < F.col("rank.end") + K) & (F.col("rank.start") < x["end"] + K))
+    good = F.col("rank").isNotNull() & ~F.coalesce(beaten, F.lit(False))
+    span, cover = span.withColumn("good", good), F.col("cover")
+    good = F.col("good")
     labels = lambda keep: F.array_join(F.array_sort(F.collect_set(F.when(keep, F.col("label")))), ",")
     out = span.groupBy(*key).agg(
         F.max("n_words").cast("long").alias("n_words"), F.sum("n_base").cast("long").alias("n_base"),
