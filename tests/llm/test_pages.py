@@ -20,6 +20,11 @@ def test_broken_pages(html):
     assert isinstance(extract.main_text(html, extract.field(30, 5)), str)
 
 
+@pytest.mark.parametrize("tag", ["<svg class='x' />", "<svg/>", "<svg-icon name='a'></svg-icon>", "<select-box></select-box>", "<template-x>", "<title-bar></title-bar>", "<svg>", "<select>", "<iframe src='x'>", "<svg><text>no</text></svg>", "<SVG a='b>no</SVG >"])
+def test_text_after_a_skipped_element_stays(tag):
+    assert [t for t, _, _ in extract.blocks(f"<p>One</p>{tag}<p>Two</p><svg><p>no</p></svg><p>Three</p>" if tag != "<svg>" else f"<p>One</p>{tag}<p>Two</p><p>Three</p>")] == ["One", "Two", "Three"]
+
+
 def test_labels_meet_blocks():
     for seed in range(40):
         page = pages.Page(seed)

@@ -23,7 +23,9 @@ from tollway.llm.common import small_batches
 #: Labelled pages that the field is trained on, and passes over them.
 PAGES, PASSES, RATE, DECAY = 800, 250, 0.1, 1e-4
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(script|style|noscript|template|svg|textarea|select|iframe|title)\b.*?(?:</\1\s*>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>)""", re.DOTALL | re.IGNORECASE)
+TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|(noscript|template|svg|select|iframe)(?=[\s/>]))""", re.DOTALL | re.IGNORECASE)
+#: Elements that are skipped up to their closing tag, if there is one; of TAG's own, bare text, an unclosed one takes the rest of the page.
+SKIPPED = {x: re.compile(rf"</{x}\s*>", re.IGNORECASE) for x in ("noscript", "template", "svg", "select", "iframe")}
 # Block-level elements, and those that can't hold others.
 BLOCKS = set("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,16 +66,23 @@ def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
         names = stack[to][1]
         del stack[to:]
 
-    at = 0
-    for m in TAG.finditer(page):
+    at, endless = 0, set()
+    while m := TAG.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             text.append(piece)
             linked += len(piece) if anchors else 0
         at = m.end()
-        tag = m[3].lower() if m[3] else ""
+        tag = (m[3] or m[5] or "").lower()
         if not tag:
             continue
+        if tag in SKIPPED:
+            if not m[2] and tag not in endless and not (tag == "svg" and m[0].endswith("/>")):
+                if close := SKIPPED[tag].search(page, at):
+                    at = close.end()
+                else:
+                    endless.add(tag)
+            continue
         if tag == "br":
             text.append(" ")
         elif tag == "a":
