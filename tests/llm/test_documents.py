@@ -118,6 +118,14 @@ def test_guess_costs():
     assert said("password: token and token: abcdefgh1") == [("assign", "token: abcdefgh1")]
 
 
+def test_values_of_letters():
+    said = lambda t: [(secrets.KINDS[k], t[a:b]) for a, k, b in secrets.spans(t)]
+    key = "qzxvbktrwplmndhg"
+    for text in (f"pwd={key}", f"passphrase: {key}", f"auth = '{key}'", f"private_key is '{key}'", f"Bearer {key}"):
+        assert said(text) == [("guess", key)], text
+    assert said(f"the passphrase is {key}") == said("the passphrase is understanding") == said("pwd=letmeinlove") == []
+
+
 def brute_prints(rows):
     out = []
     for d, t, *_ in rows:

@@ -22,7 +22,7 @@ from tollway.llm.common import small_batches
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-CONTEXT = re.compile(r"""(?:(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)s?["']?(?:\x20*[:=]\x20*|\x20+is\x20+)|bearer\x20+)["']?([!-~]{8,})""", re.IGNORECASE | re.ASCII)
+CONTEXT = re.compile(r"""(?:(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth)s?["']?(?:\x20*[:=]\x20*|(?P<prose>\x20+is\x20+))|bearer\x20+)(?P<quote>["'])?(?P<value>[!-~]{8,})""", re.IGNORECASE | re.ASCII)
 #: What may close a value without being part of it.
 CLOSERS = "\"',;.:!?)]}>"
 #: One of these stands in every text that ASSIGN or CONTEXT matches.
@@ -93,10 +93,11 @@ def spans(text: str, least: float = LEAST) -> list[tuple[int, int, int]]:
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end() - m.start(2) >= 8]
     if any(x in low for x in HINTS):
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(CLOSERS)
-            # letters alone can't be told from a word of prose
-            if len(value) >= 8 and not value.isalpha() and guesses(value) >= least:
-                found.append((m.start(1), 3, m.start(1) + len(value)))
+            value = m["value"].rstrip(CLOSERS)
+            # after `is` and without a quote, letters alone can't be told from a word of prose
+            word = m["prose"] and not m["quote"] and value.isalpha()
+            if len(value) >= 8 and not word and guesses(value) >= least:
+                found.append((m.start("value"), 3, m.start("value") + len(value)))
     return sorted(found)
 
 
