@@ -32,6 +32,14 @@ def test_detection():
         tables.detect_encoding(b"\xff\xff\xff", ("utf-8",))
 
 
+@pytest.mark.parametrize(("encoding", "last"), [("utf-8", "9,粤"), ("gb18030", "9,㐀"), ("gbk", "9,粤")])
+def test_encoding_of_a_long_file(spark, tmp_path, encoding, last):
+    """What tells the encoding stands beyond the head that is probed."""
+    (tmp_path / "a.csv").write_bytes(b"KKBH,FZJG\n" + b"1,ascii\n" * (tables.PROBE_BYTES // 7) + (last + "\n").encode(encoding))
+    df = tables.read_csv(spark, str(tmp_path / "a.csv"))
+    assert [r.FZJG for r in df.where("KKBH = '9'").collect()] == [last[2:]]
+
+
 def test_parquet_is_preferred(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a\n1\n")
     path = str(tmp_path / "t.csv")

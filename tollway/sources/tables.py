@@ -5,11 +5,12 @@ from __future__ import annotations
 import codecs
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENCODINGS = ("gbk", "gb18030", "utf-8-sig", "utf-8")
-#: Bytes of a file that are decoded strictly to tell its encoding.
+#: Bytes of a file's head that are decoded at the driver, with its byte order mark; all lines are decoded by Spark.
 PROBE_BYTES = 1 << 20
 CHARSETS = "spark.sql.legacy.javaCharsets"
 
@@ -42,10 +43,33 @@ def detect_encoding(data: bytes, encodings: Sequence[str] = ENCODINGS) -> str:
     raise ValueError(f"none of {', '.join(encodings)} decodes the file")
 
 
+def decodable(spark: SparkSession, path: str, encodings: Sequence[str]) -> list[str]:
+    """Those of the encodings that decode every line of the file. None of them has line ends within a character."""
+
+    def failed(batches):
+        bad = set()
+        for batch in batches:
+            for line in batch.column("line").to_pylist():
+                for name in encodings:
+                    if name not in bad:
+                        try:
+                            line.decode(name)
+                        except UnicodeDecodeError:
+                            bad.add(name)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(bad), pa.string())], names=["name"])
+
+    lines = spark.read.text(path).select(F.col("value").cast("binary").alias("line"))
+    bad = {r.name for r in lines.mapInArrow(failed, "name string").distinct().collect()}
+    return [e for e in encodings if e not in bad]
+
+
 def read_csv(spark: SparkSession, path: str, preferred: str | None = None, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
     """All columns as text, so that ids keep their leading zeros."""
     order = [preferred, *[e for e in encodings if e != preferred]] if preferred else encodings
-    name = detect_encoding(head_bytes(spark, path), order)
+    whole = decodable(spark, path, order)
+    if not whole:
+        raise ValueError(f"none of {', '.join(order)} decodes the file")
+    name = detect_encoding(head_bytes(spark, path), whole)
     charset = {"utf-8-sig": "UTF-8"}.get(name, name.upper())
     if charset in ("GBK", "GB18030"):
         spark.conf.set(CHARSETS, "true")
