@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tollway.llm import exchange, rolling, substrings, suffixes
+from tollway.llm import exchange, ranks, rolling, substrings, suffixes, verified
 
 
 def spans(mark):
@@ -52,11 +52,11 @@ def pairs(rows):
     return [(r[0], r[1]) for r in rows]
 
 
-@pytest.mark.parametrize("shares", [1, 3])
-def test_suffixes(edge_docs, edge_rows, shares):
-    got = suffixes.dedup(edge_docs, shares=shares).collect()
+@pytest.mark.parametrize("per_bucket", [1 << 22, 300])
+def test_suffixes(edge_docs, edge_rows, per_bucket):
+    got = suffixes.dedup(edge_docs, per_bucket=per_bucket).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got), key=str) == brute_bytes(pairs(edge_rows), 200)
-    bare = suffixes.dedup(edge_docs, texts=False, shares=shares).collect()
+    bare = suffixes.dedup(edge_docs, texts=False, per_bucket=per_bucket).collect()
     assert Counter((r.doc_id, r.kept_sha256) for r in bare) == Counter((r.doc_id, r.kept_sha256) for r in got) and {r.kept for r in bare} == {None}
 
 
@@ -72,9 +72,9 @@ def test_cover_must_cover(edge_docs):
         suffixes.dedup(edge_docs, period=133, cover=(0, 1, 2))
 
 
-@pytest.mark.parametrize(("size", "parts"), [(50, 1), (5, 2)])
-def test_substrings(edge_docs, edge_rows, size, parts):
-    got = substrings.dedup(edge_docs, window=size, parts=parts).collect()
+@pytest.mark.parametrize(("size", "per_bucket"), [(50, 1 << 22), (5, 1 << 22), (5, 1500), (2, 1 << 22)])
+def test_substrings(edge_docs, edge_rows, size, per_bucket):
+    got = substrings.dedup(edge_docs, window=size, per_bucket=per_bucket).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.n_spans, r.kept_sha256, r.kept) for r in got), key=str) == brute_words(pairs(edge_rows), size)
 
 
@@ -129,3 +129,52 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([(1, text), (2, text[5000:])], "doc_id long, text string")
     got = {r.doc_id: r for r in substrings.dedup(docs, texts=False).collect()}
     assert got[1].n_removed == 0 and got[2].n_removed == got[2].n_words - (text[4999] != " ")
+
+
+def test_words_that_hash_alike(spark):
+    """The hash of words of 1,024 bytes and more that are a Thue-Morse sequence and its complement is the same; the windows are not."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(49))
+    h = rolling.word_hashes(np.frombuffer((one + two).encode(), np.uint8), np.array([0, 1024]), np.array([1024, 2048]))
+    assert h[0] == h[1]
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{one} {rest}")]
+    got = {r.doc_id: r.n_removed for r in substrings.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    texts = [(i, f"{x}{'x' * 300}{y}") for i, (x, y) in enumerate([(one, "1"), (two, "2"), (one, "3")])]
+    got = suffixes.dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got), key=str) == brute_bytes(texts, 200)
+
+
+def test_hashes_only_propose(spark, edge_docs, edge_rows, monkeypatch):
+    """With hashes of two values the results stay the same."""
+    bad = lambda f: lambda *a: (lambda h, *rest: (h % np.uint64(2), *rest))(*f(*a))
+    cover, twins, words = suffixes.cover_hasher, suffixes.suffix_hasher, substrings.hasher
+    monkeypatch.setattr(suffixes, "cover_hasher", lambda *a: bad(cover(*a)))
+    monkeypatch.setattr(suffixes, "suffix_hasher", lambda *a: bad(twins(*a)))
+    monkeypatch.setattr(substrings, "hasher", lambda *a: bad(words(*a)))
+    rows = [r for r in edge_rows if len(r[1] or "") < 6000]
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
+    got = suffixes.dedup(docs).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got), key=str) == brute_bytes(pairs(rows), 200)
+    got = substrings.dedup(docs).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.n_spans, r.kept_sha256, r.kept) for r in got), key=str) == brute_words(pairs(rows), 50)
+
+
+@given(st.lists(st.text(alphabet="ab", max_size=120), min_size=1, max_size=5), st.integers(8, 40), st.integers(1, 60))
+@settings(max_examples=150, deadline=None)
+def test_suffix_order(texts, length, most):
+    text = "".join(texts).encode()
+    at = np.arange(max(0, len(text) - length + 1))
+    s = ranks.Suffixes(np.frombuffer(text, np.uint8), length)
+    parts = [text[i : i + length] for i in s.sort(at)] if len(at) else []
+    assert parts == sorted(parts)
+    name = s.classes(at, most) if len(at) else at
+    assert len(set(name.tolist())) == len({text[i : i + length] for i in at}) == len({(x, text[i : i + length]) for x, i in zip(name.tolist(), at, strict=True)})
+
+
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=40), st.integers(1, 40))
+@settings(max_examples=60, deadline=None)
+def test_least(values, size):
+    size = min(size, len(values))
+    assert verified.least(np.array(values), size).tolist() == [min(values[i : i + size]) for i in range(len(values) - size + 1)]

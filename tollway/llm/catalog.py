@@ -35,7 +35,7 @@ def op6_sharding(spark, sf_dir):
 
 
 def op8_substring_dedup(spark, sf_dir):
-    out = substrings.dedup(table(spark, sf_dir, "documents"), texts=False, parts=2)
+    out = substrings.dedup(table(spark, sf_dir, "documents"), texts=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
 
 

@@ -1,12 +1,15 @@
-"""Which windows of a corpus occur again: hashes are packed by bucket, exchanged once, and answered.
+"""Which windows of a corpus may occur again: hashes are packed by bucket, exchanged once, and answered.
 
-A block is a chunk of documents of one task. It sends each distinct window hash once, in one packed row for each
-bucket, and a home row with its document keys and the windows that repeat within it. A bucket sorts the hashes of
-all blocks and answers with the positions that count as repeats. Answers and home row meet by block. What a bucket
-holds is a row for each block, so a window that stands in a third of all documents is sent once for each block.
+A block is a chunk of documents of one task. It sends 32 bits of the hash of each distinct window once, in one
+packed row for each bucket, and a home row with its document keys and the windows that repeat within it. A bucket
+sorts the hashes of all blocks and answers with the positions of those that several have. Answers and home row meet
+by block. A window that stands in a third of all documents is sent once for each block.
 
-Documents are told apart by (doc_id, k1, k2). 64-bit hashes decide: for n windows a false repeat has a chance of
-about n^2 / 2^65 in all."""
+Answers are candidates: every window that occurs twice is one, and so are a few others whose bits are equal by
+chance. ``verified`` settles them by the texts themselves. What a bucket holds is bounded (PER_BUCKET): more windows
+take more shares, which are exchanged one after the other.
+
+Documents are told apart by (doc_id, k1, k2)."""
 
 from __future__ import annotations
 
@@ -22,11 +25,15 @@ from tollway.llm import rolling
 from tollway.llm.common import partitions, row_key, small_batches, written
 
 LARGEST = np.iinfo(np.int64).max
-#: Bytes of text in a block, but one document at least.
-BLOCK = 2 << 20
+#: Bytes of text in a block at least, and at most where many buckets ask for more of it.
+BLOCK, LARGEST_BLOCK = 2 << 20, 64 << 20
+#: Hashes that a block should have for each bucket, so that packing pays.
+PER_ROW = 64
+#: Hashes that a bucket holds, on average: some 25 bytes each.
+PER_BUCKET = 4 << 20
 PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
 ANSWER = pa.schema([("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
-SPANS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("hits", pa.binary())])
+SPANS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("hits", pa.binary()), ("n", pa.int64())])
 #: (data, text offsets, batch) -> (hash of each window, its position, first position of each text)
 Hasher = Callable[[np.ndarray, np.ndarray, pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -62,13 +69,10 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _send(hasher: Hasher, buckets: int, ordered: bool, part: int, parts: int):
+def _send(hasher: Hasher, buckets: int, block_bytes: int, part: int, parts: int):
     def send(batches):
-        for batch in rolling.chunks(batches, "text", BLOCK):
+        for batch in rolling.chunks(batches, "text", block_bytes):
             ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
-            if ordered:
-                batch = batch.take(pa.array(order := np.argsort(ids, kind="stable")))
-                ids = ids[order]
             k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
             data, at = rolling.texts(batch.column("text"))
             h, pos, first = hasher(data, at, batch)
@@ -81,88 +85,70 @@ def _send(hasher: Hasher, buckets: int, ordered: bool, part: int, parts: int):
             block = int(np.frombuffer(name, np.int64)[0])
             order = np.argsort(h, kind="stable")
             new = np.r_[True, h[order[1:]] != h[order[:-1]]]
-            lead = order[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
-            again, of = order[~new], lead[~new]
+            again, of = order[~new], order[np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            home = pack(ids, known.astype(np.uint8), k1, k2, first.astype(np.int64), pos[again].astype(np.uint32), pos[of].astype(np.uint32))
+            twice = np.sort(pos[np.unique(np.r_[again, of])]).astype(np.uint32)
+            home = pack(ids, known.astype(np.uint8), k1, k2, first.astype(np.int64), deltas(twice))
             rows = [(block % buckets, block, True, home)]
             own = np.sort(order[new])
             h, pos = h[own], pos[own].astype(np.uint32)
-            doc = ids[np.searchsorted(first, pos, "right") - 1] if ordered else None
             to = ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(to, kind="stable")
             cut = np.searchsorted(to[by], np.arange(buckets + 1))
             for b in range(buckets):
                 if cut[b + 1] > cut[b]:
                     x = by[cut[b] : cut[b + 1]]
-                    body = pack(h[x], deltas(pos[x]), *([deltas(doc[x])] if ordered else []))
-                    rows.append((b, block, False, body))
+                    rows.append((b, block, False, pack(h[x].astype(np.uint32), deltas(pos[x]))))
             yield _rows(PACKED, rows)
 
     return send
 
 
-def _answer(ordered: bool):
-    kinds = (np.uint64, np.uint32, np.int64)[: 2 + ordered]
-
-    def answer(batches):
-        blocks, hs, ps, ds = [], [], [], []
-        for batch in batches:
-            for block, home, body in zip(*(batch.column(c).to_pylist() for c in ("block", "home", "body")), strict=True):
-                if home:
-                    yield _rows(ANSWER, [(block, True, body)])
-                else:
-                    h, p, *d = unpack(body, *kinds)
-                    blocks.append(block)
-                    hs.append(h)
-                    ps.append(np.cumsum(p, dtype=np.uint32))
-                    ds += [np.cumsum(x) for x in d]
-        if not blocks:
-            return
-        h = np.concatenate(hs)
-        order = np.argsort(h)
-        new = np.flatnonzero(np.r_[True, h[order[1:]] != h[order[:-1]]])
-        n = np.diff(np.r_[new, len(h)])
-        hit = np.empty(len(h), bool)
-        if ordered:
-            d = np.concatenate(ds)
-            hit[order] = d[order] > np.repeat(np.minimum.reduceat(d[order], new), n)
-        else:
-            hit[order] = np.repeat(n > 1, n)
-        at = 0
-        for block, p in zip(blocks, ps, strict=True):
-            mine = p[hit[at : at + len(p)]]
-            at += len(p)
-            if len(mine):
-                yield _rows(ANSWER, [(block, False, planes(deltas(mine)))])
-
-    return answer
-
-
-def _collect(ordered: bool):
-    def collect(batches):
-        for batch in batches:
-            for items in batch.column("items"):
-                items = items.as_py()
-                # equal rows make equal blocks: one of them speaks for all
-                homes = {x["body"] for x in items if x["home"]}
-                for home in homes:
-                    ids, known, k1, k2, first, again, of = unpack(home, np.int64, np.uint8, np.int64, np.int64, np.int64, np.uint32, np.uint32)
-                    mark = np.zeros(int(first[-1]), bool)
-                    for x in items:
-                        if not x["home"]:
-                            mark[np.cumsum(from_planes(x["body"], np.uint32), dtype=np.uint32)] = True
-                    if ordered:
-                        later = ids[np.searchsorted(first, again, "right") - 1] > ids[np.searchsorted(first, of, "right") - 1]
-                        mark[again[later | mark[of]]] = True
-                    else:
-                        mark[again] = mark[of] = True
-                    some = np.flatnonzero(np.add.reduceat(np.r_[mark, False], first[:-1], dtype=np.int64) * (np.diff(first) > 0))
-                    rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes()) for i in some]
-                    if rows:
-                        yield _rows(SPANS, rows)
-
-    return collect
+def _answer(batches):
+    blocks, hs, ps = [], [], []
+    for batch in batches:
+        for block, home, body in zip(*(batch.column(c).to_pylist() for c in ("block", "home", "body")), strict=True):
+            if home:
+                yield _rows(ANSWER, [(block, True, body)])
+            else:
+                h, p = unpack(body, np.uint32, np.uint32)
+                blocks.append(block)
+                hs.append(h)
+                ps.append(p)
+    if not blocks:
+        return
+    h = np.concatenate(hs)
+    hs.clear()
+    order = np.argsort(h)
+    h = h[order]
+    same = h[1:] == h[:-1]
+    hit = np.zeros(len(h), bool)
+    hit[order[1:][same]] = hit[order[:-1][same]] = True
+    at = 0
+    for block, p in zip(blocks, ps, strict=True):
+        mine = np.cumsum(p, dtype=np.uint32)[hit[at : at + len(p)]]
+        at += len(p)
+        if len(mine):
+            yield _rows(ANSWER, [(block, False, planes(deltas(mine)))])
+
+
+def _collect(batches):
+    for batch in batches:
+        for items in batch.column("items"):
+            items = items.as_py()
+            # equal rows make equal blocks: one of them speaks for all
+            homes = {x["body"] for x in items if x["home"]}
+            for home in homes:
+                ids, known, k1, k2, first, twice = unpack(home, np.int64, np.uint8, np.int64, np.int64, np.int64, np.uint32)
+                mark = np.zeros(int(first[-1]), bool)
+                mark[np.cumsum(twice, dtype=np.uint32)] = True
+                for x in items:
+                    if not x["home"]:
+                        mark[np.cumsum(from_planes(x["body"], np.uint32), dtype=np.uint32)] = True
+                n = np.add.reduceat(np.r_[mark, False], first[:-1], dtype=np.int64) * (np.diff(first) > 0)
+                rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes(), int(n[i])) for i in np.flatnonzero(n)]
+                if rows:
+                    yield _rows(SPANS, rows)
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -170,20 +156,26 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(F.col("text")), "text", *more)
 
 
-def repeats(docs: DataFrame, hasher: Hasher, name: str, ordered: bool = False, parts: int = 1) -> DataFrame:
-    """(doc_id, k1, k2, hits): the windows of each document that occur again, as bitmaps over the positions of their starts.
+def repeats(docs: DataFrame, hasher: Hasher, name: str, hashes: int, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """(doc_id, k1, k2, hits, n): the windows of each document that may occur again, as bitmaps over the positions of their starts, and how many they are.
 
-    docs: doc_id, k1, k2, text and what the hasher reads. ordered: only occurrences in documents with a smaller
-    doc_id count (a null id is the largest). parts: so many shares of the hashes are exchanged one after the
-    other, each leaving only its answers."""
+    docs: doc_id, k1, k2, text and what the hasher reads. hashes: about how many windows there are; it decides on the
+    shares, each of which leaves only its answers. A document has a row for each share that found some."""
     buckets = partitions(docs.sparkSession)
+    parts = -(-hashes // (per_bucket * buckets)) or 1
+    block_bytes = min(LARGEST_BLOCK, max(BLOCK, PER_ROW * buckets * parts))
     found = None
     for part in range(parts):
-        sent = docs.mapInArrow(_send(hasher, buckets, ordered, part, parts), "bucket int, block long, home boolean, body binary")
-        heard = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(ordered), "block long, home boolean, body binary")
+        sent = docs.mapInArrow(_send(hasher, buckets, block_bytes, part, parts), "bucket int, block long, home boolean, body binary")
+        heard = sent.repartitionById(buckets, "bucket").mapInArrow(_answer, "block long, home boolean, body binary")
         by_block = heard.groupBy("block").agg(F.collect_list(F.struct("home", "body")).alias("items"))
-        hits = written(by_block.mapInArrow(_collect(ordered), "doc_id long, k1 long, k2 long, hits binary"), name)
+        hits = written(by_block.mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long"), name)
         found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def gathered(found: DataFrame) -> DataFrame:
+    """The bitmaps of each document in one row."""
     return found.groupBy("doc_id", "k1", "k2").agg(F.array_distinct(F.collect_list("hits")).alias("hits"))
 
 

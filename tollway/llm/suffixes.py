@@ -1,16 +1,19 @@
-"""Suffix-array dedup over bytes, blockwise with a difference cover.
+"""Suffix-array dedup over bytes, blockwise with difference covers.
 
-What is asked of the suffix array is which suffixes share their first LENGTH bytes with another. Suffixes are
-sampled at positions whose residue modulo PERIOD lies in a difference cover: for any two suffixes i and j there is
-a shift below PERIOD that takes both into the sample. So the sample is ranked first: its suffixes, cut to
-LENGTH - PERIOD + 1 bytes, are named by their class, and a class of one proves that no suffix within PERIOD before
-it has a twin. Only suffixes left in doubt are then sorted, one bucket of suffixes at a time and one share of the
-buckets after the other, so that memory and disk hold a bucket and a share. Long ties need no byte comparison: the
-cover's classes have settled which suffixes agree far enough to be looked at, and a hash of the whole LENGTH bytes
-settles the rest.
+Suffixes that share their first LENGTH bytes with another are neighbours in the suffix array. It is never built as a
+whole:
+
+1. The sample of the corpus at positions whose residue modulo PERIOD lies in a difference cover is put into classes
+   by its first LENGTH - PERIOD + 1 bytes. For any two suffixes there is a shift below PERIOD that takes both into the
+   sample, so a suffix with no sampled position of a shared class less than PERIOD ahead has no twin.
+2. The suffixes in doubt are put into classes by a hash of LENGTH bytes, which leaves the twins and few others.
+3. Their text goes to buckets in stretches (``verified``). A task sorts one bucket of suffixes at a time; suffixes that
+   tie in their first bytes are told apart by the ranks of the bucket's own cover sample (``ranks``); neighbours
+   are then compared in their LENGTH bytes. Steps 1 and 2 only rule out: no hash removes a byte.
 
 Texts are UTF-8 bytes; null texts are empty; no string crosses documents. Equal rows are each other's copies and
-get equal results, one each; a null doc_id is a document like any other. Extra columns are not read."""
+get equal results, one each; a null doc_id is a document like any other. Extra columns are not read. Memory of a task:
+some 60 times its longest document."""
 
 from __future__ import annotations
 
@@ -21,13 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollway.llm import exchange, rolling
+from tollway.llm import exchange, ranks, rolling, verified
 from tollway.llm.common import written
 
 LENGTH = 200
 # A perfect difference set. Every residue modulo 133 but 0 is exactly one difference of two of them.
 PERIOD, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
-SHARES = 2
 OUT = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
@@ -79,6 +81,21 @@ def suffix_hasher(length: int, period: int) -> exchange.Hasher:
     return hashes
 
 
+def cutter(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    place = np.arange(len(data) + 1)
+    return rolling.prefix(rolling.BYTE_VALUES[data]), at, data, place, place[1:]
+
+
+def classes(length: int) -> verified.Classes:
+    def classes(bodies):
+        size = np.array([len(x) for x in bodies])
+        begin, n = np.cumsum(size) - size, size - length + 1
+        text = np.frombuffer(b"".join(bodies), np.uint8)
+        return ranks.Suffixes(text, length).classes(_ramp(begin, n)), np.r_[0, np.cumsum(n)]
+
+    return classes
+
+
 def _cut(length: int, texts: bool):
     def cut(batches):
         for batch in rolling.chunks(batches, "text"):
@@ -86,7 +103,7 @@ def _cut(length: int, texts: bool):
             hits, rows = batch.column("hits").to_pylist(), []
             for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), strict=True)):
                 raw = data[at[i] : at[i + 1]]
-                a, b = rolling.runs(exchange.positions(hits[i]), length)
+                a, b = rolling.runs(verified.positions(hits[i]), length)
                 edge = np.zeros(len(raw) + 1, np.int32)
                 edge[a] += 1
                 edge[b] -= 1
@@ -97,15 +114,22 @@ def _cut(length: int, texts: bool):
     return cut
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER, texts: bool = True, shares: int = SHARES) -> DataFrame:
+def total(found: DataFrame) -> int:
+    return found.agg(F.sum("n")).first()[0] or 0
+
+
+def dedup(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER, texts: bool = True, per_bucket: int = exchange.PER_BUCKET) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes left; null without `texts`)."""
     if not is_cover(period, cover) or period > length:
         raise ValueError("cover must be a difference cover of a period that the length holds")
     rows = exchange.keyed(docs)
-    sampled = exchange.repeats(rows, cover_hasher(length, period, cover), "cover")
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sampled = exchange.repeats(rows, cover_hasher(length, period, cover), "cover", n_bytes * len(cover) // period, per_bucket)
     # equal rows stay apart: each is a twin of the other
-    doubt = written(exchange.joined(rows, sampled, "inner"), "doubt")
-    found = exchange.repeats(doubt, suffix_hasher(length, period), "suffixes", parts=shares)
+    doubt = written(exchange.joined(rows, exchange.gathered(sampled), "inner"), "doubt")
+    twins = exchange.repeats(doubt, suffix_hasher(length, period), "suffixes", total(sampled) * period // len(cover), per_bucket)
+    likely = exchange.joined(doubt.drop("hits"), exchange.gathered(twins), "inner")
+    found = written(verified.repeats(likely, total(twins), cutter, classes(length), length, length // 2), "twins")
     cut = exchange.joined(doubt.drop("hits"), found, "inner").mapInArrow(_cut(length, texts), "doc_id long, k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.dropDuplicates(["doc_id", "k1", "k2"]) if not texts else cut.groupBy("doc_id", "k1", "k2").agg(*(F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256", "kept")))
     text = F.coalesce(F.col("text"), F.lit(""))
