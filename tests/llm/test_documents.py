@@ -96,6 +96,43 @@ def test_license_notices_are_told_apart(spark):
     assert again.labels == "" and again.score == pytest.approx(1 / 4)
 
 
+def license_sql(rows):
+    """The registered SQL on rows (doc_id, text)."""
+    import duckdb
+    import pandas as pd
+
+    from tollway.llm import catalog
+
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    return con.sql(catalog.oracle_sql()["op9_license_scan"]).df()
+
+
+def test_license_fragments_and_edits(spark):
+    """Windows of a template that are repeated are no notice; notices with a few words added, dropped or changed are. The SQL, written from the definition, agrees."""
+    rng = np.random.default_rng(3)
+    texts, want = ["free of charge " * 40, "in source and " * 30], ["", ""]
+    for label, body in licenses.TEMPLATES:
+        w = re.findall(LETTER, lower(body))
+        for i in range(len(w) - 2):
+            texts.append((" ".join(w[i : i + 3]) + " ") * 50)
+            want.append(",".join(v for k, v in licenses.PHRASES.items() if k in texts[-1]))
+        for _ in range(3 if len(w) > 20 else 0):
+            edited = list(w)
+            for _ in range(2):
+                at = int(rng.integers(0, len(edited)))
+                edited[at : at + int(rng.integers(0, 2))] = ["indeed"] * int(rng.integers(0, 2))
+            texts.append("Some prose before. " + " ".join(edited) + " And some after.")
+            want.append(None if any(g not in texts[-1] for g in licenses.NEEDED[label] if g in " ".join(w)) else label)
+    rows = list(enumerate(texts))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).toPandas().sort_values("doc_id").reset_index(drop=True)
+    for text, label, r in zip(texts, want, got.itertuples(), strict=True):
+        assert label is None or r.labels == label, (text, r)
+    assert sum(bool(x) for x in want) >= 15
+    sql = license_sql(rows).sort_values("doc_id").reset_index(drop=True)[list(got)]
+    assert ((got == sql) | (got.isna() & sql.isna())).all().all()
+
+
 def test_secrets(edge_docs, edge_rows):
     want = []
     for d, t, *_ in edge_rows:

@@ -57,5 +57,5 @@ def oracle_sql() -> dict:
         "op3_decontamination": sql.OP3,
         "op7_quality_rules": sql.OP7.replace("{stop}", " ".join(quality.STOP_WORDS)),
         "op8_substring_dedup": sql.OP8,
-        "op9_license_scan": sql.op9(licenses.PHRASES, licenses.TEMPLATES),
+        "op9_license_scan": sql.op9(licenses.PHRASES, licenses.TEMPLATES, licenses.NEEDED),
     }

@@ -56,23 +56,42 @@ from d left join gone using (doc_id) left join runs using (doc_id) left join lef
 
 OP9 = f"""
 with d as (select doc_id, {LETTERS} as w from documents),
-t as (select tid, label, whole, {LETTERS} as w from (values {{templates}}) v(tid, label, whole, text)),
-tg as (select tid, label, whole, len(w) - 2 as m, i - 1 as t, array_to_string(w[i:i + 2], ' ') as g from (select *, unnest(generate_series(1, len(w) - 2)) as i from t)),
-dg as (select doc_id, i - 1 as i, array_to_string(w[i:i + 2], ' ') as g from (select *, unnest(generate_series(1, len(w) - 2)) as i from d where len(w) > 2)),
-vote as (select doc_id, tid, label, whole, m, i - t as d, count(distinct t) as votes from dg join tg using (g) group by all),
-part as (select *, sum(case when apart > 3 then 1 else 0 end) over (partition by doc_id, tid order by d) as part
-  from (select *, d - lag(d) over (partition by doc_id, tid order by d) as apart from vote)),
-span as (select doc_id, tid, label, whole, m, sum(votes) as votes, count(*) filter (whole and votes = m) as n_base, min(d) filter (whole and votes = m) as first_word, max(d) filter (whole and votes = m) as last_word
-  from part group by doc_id, tid, label, whole, m, part),
-good as (select *, least(1.0, votes / m) as cover, not whole and least(1.0, votes / m) >= 0.6 as good from span),
-out as (select doc_id, sum(n_base) as n_base, min(first_word) as first_word, max(last_word) as last_word, string_agg(distinct label, ',' order by label) filter (n_base > 0) as base_labels,
-  string_agg(distinct label, ',' order by label) filter (n_base > 0 or good) as labels, max(case when n_base > 0 then 1.0 when not whole then cover end) as score, count(*) filter (good) as n_spans from good group by 1)
-select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
-  coalesce(score, 0)::double as score, coalesce(n_spans, 0)::bigint as n_spans from d left join out using (doc_id)
+-- base: the words of a phrase, one after the other
+p as (select label, {LETTERS} as w from (values {{phrases}}) v(label, text)),
+place as (select doc_id, label, unnest(list_filter(generate_series(1, len(d.w) - len(p.w) + 1), lambda i: d.w[i:i + len(p.w) - 1] = p.w)) - 1 as i
+  from d, p where len(d.w) >= len(p.w) and list_has_all(d.w, p.w)),
+base as (select doc_id, count(*) as n_base, min(i) as first_word, max(i) as last_word, string_agg(distinct label, ',' order by label) as base_labels, list(distinct label) as l from place group by 1),
+-- spans: three words in a row that a notice has as well, on diagonals at most three apart
+t as (select tid, label, {LETTERS} as w from (values {{templates}}) v(tid, label, text)),
+tg as (select tid, label, len(w) - 2 as m, unnest(generate_series(0, len(w) - 3)) as t, w from t),
+tn as (select tid, label, m, t, w[t + 1:t + 3] as g, exists (select 1 from (values {{needed}}) n(label, g) where n.label = tg.label and n.g = array_to_string(w[t + 1:t + 3], ' ')) as need from tg),
+dg as (select doc_id, i, w[i + 1:i + 3] as g from (select doc_id, w, unnest(generate_series(0, len(w) - 3)) as i from d where len(w) > 2)),
+hit as (select doc_id, tid, label, m, i, t, i - t as d, need from dg join tn using (g)),
+diagonal as (select *, d - lag(d) over (partition by doc_id, tid order by d) > 3 as cut from (select distinct doc_id, tid, d from hit)),
+part as (select doc_id, tid, d, count(*) filter (cut) over (partition by doc_id, tid order by d) as part from diagonal),
+span as (select doc_id, tid, label, m, part, list({{'i': i, 't': t}} order by i, t) as h, min(i) as a, max(i) + 3 as b, count(distinct t) filter (need) as met from hit join part using (doc_id, tid, d) group by all),
+-- the longest chain that ascends in both, hit by hit
+chain as (select *, list_max(list_reduce(list_transform(range(1, len(h) + 1), lambda k: [k]), lambda best, e: list_append(best,
+  1 + coalesce(list_max(list_transform(list_filter(range(1, e[1]), lambda j: h[j].i < h[e[1]].i and h[j].t < h[e[1]].t), lambda j: best[j])), 0)), []::bigint[])) / m as cover from span),
+sure as (select * from chain where cover >= 0.6 and met = (select count(*) from tn where tn.tid = chain.tid and need)),
+good as (select * from sure x where not exists (select 1 from sure y where y.doc_id is not distinct from x.doc_id and y.tid <> x.tid and y.a < x.b and x.a < y.b
+  and (y.cover > x.cover or y.cover = x.cover and (y.m > x.m or y.m = x.m and y.tid < x.tid)))),
+labelled as (select doc_id, list(distinct label) as l, count(*) as n_spans from good group by 1),
+best as (select doc_id, max(cover) as cover from chain group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(labelled.l, [])))), ',') as labels,
+  (case when n_base > 0 then 1 else coalesce(cover, 0) end)::double as score, coalesce(n_spans, 0)::bigint as n_spans
+from d left join base using (doc_id) left join labelled using (doc_id) left join best using (doc_id)
 """
 
 
-def op9(phrases: dict[str, str], templates: list[tuple[str, str]]) -> str:
-    rows = [(label, "true", text) for text, label in phrases.items()] + [(label, "false", text) for label, text in templates]
-    quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    return OP9.replace("{templates}", ", ".join(f"({i}, {quoted(a)}, {b}, {quoted(c)})" for i, (a, b, c) in enumerate(rows)))
+def op9(phrases: dict[str, str], templates: list[tuple[str, str]], needed: dict[str, tuple[str, ...]]) -> str:
+    quoted = lambda *x: "(" + ", ".join(str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in x) + ")"
+    parts = {
+        "{phrases}": [quoted(label, text) for text, label in phrases.items()], "{templates}": [quoted(i + len(phrases), *x) for i, x in enumerate(templates)],
+        "{needed}": [quoted(label, g) for label, own in needed.items() for g in own],
+    }
+    out = OP9
+    for name, rows in parts.items():
+        out = out.replace(name, ", ".join(rows))
+    return out
