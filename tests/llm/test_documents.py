@@ -346,6 +346,31 @@ def test_equal_rows_are_dealt_out(spark):
     assert len(n) == 6 and max(n) - min(n) <= 2
 
 
+def test_equal_rows_are_numbered_in_several_tasks(spark, monkeypatch):
+    """A cell that equal rows fill is cut by the second half of the key; slots stay gapless."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 100)
+    docs = spark.range(4000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    by = {}
+    for r in sharding.assign(docs, 6, "rows").collect():
+        by.setdefault(r.shard, []).append(r.slot)
+    assert len(by) == 6 and all(sorted(s) == list(range(len(s))) for s in by.values())
+    rows = sharding.weigh(docs.select("doc_id", "text", F.struct("doc_id").alias("row")))
+    found = sharding.splitters(rows, 6, "rows")
+    assert found.rows == 4000 and found.fullest >= 3000 and len(found.cuts) == 5
+
+
+def test_splitters_stop_at_one_row(spark, monkeypatch):
+    """Documents above the tolerance take no more rounds than it takes to set them apart."""
+    rounds = []
+    cells = sharding._cells
+    monkeypatch.setattr(sharding, "_cells", lambda rows, depth, *a: rounds.append(depth) or cells(rows, depth, *a))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.when(F.col("id") % 50 == 0, 20000).otherwise(50)).alias("text"))
+    size = {}
+    for r in sharding.assign(docs, 8).collect():
+        size[r.shard] = size.get(r.shard, 0) + r["size"]
+    assert len(rounds) <= 3 and len(size) == 8 and max(size.values()) - min(size.values()) <= 2 * 20016
+
+
 @pytest.mark.parametrize("name", ["op3_decontamination", "op7_quality_rules", "op8_substring_dedup", "op9_license_scan"])
 def test_sql(spark, name):
     import duckdb
