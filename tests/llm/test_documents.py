@@ -275,8 +275,11 @@ def test_long_chains(spark):
     assert {r.v for r in simhash.components(chain).collect()} == {0}
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 400])
-def test_decontamination(spark, edge_docs, edge_rows, block_bytes):
+@pytest.mark.parametrize("bits", [1 << 16, 64])
+def test_decontamination(spark, edge_docs, edge_rows, bits, monkeypatch):
+    """With a bitmap that lets nearly all shingles pass the results stay the same."""
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", bits)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
     items = [(1, " ".join(edge_rows[6][1].split()[20:50])), (2, edge_rows[11][1]), (3, "one"), (4, None), (None, "thing"), (5, "a B"), (1, "again the same id")]
     bench = spark.createDataFrame([(*x, "clash") for x in items], "item_id long, text string, k1 string")
     windows = {}
@@ -294,9 +297,9 @@ def test_decontamination(spark, edge_docs, edge_rows, block_bytes):
                     found |= x
                     hit |= set(range(o, o + n))
         want.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
-    got = decontaminate.match(edge_docs, bench, block_bytes=block_bytes).collect()
+    got = decontaminate.match(edge_docs, bench).collect()
     same([(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got], want)
-    clean = decontaminate.clean(edge_docs, bench, block_bytes=block_bytes)
+    clean = decontaminate.clean(edge_docs, bench)
     assert clean.count() == sum(not x[-1] for x in want) and clean.columns == edge_docs.columns
     assert decontaminate.match(edge_docs.limit(0), bench).count() == 0 and decontaminate.clean(edge_docs, bench.limit(0)).count() == len(edge_rows)
 
