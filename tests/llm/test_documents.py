@@ -163,6 +163,29 @@ def test_values_of_letters():
     assert said(f"the passphrase is {key}") == said("the passphrase is understanding") == said("pwd=letmeinlove") == []
 
 
+def test_guess_recall_and_false_alarms():
+    """Random values of ten characters and more against weak passwords and long words of prose."""
+    import random
+    import string
+
+    rng, b62 = random.Random(7), string.ascii_letters + string.digits
+    for alphabet, n, least in ((b62, 16, 0.999), (b62, 12, 0.99), (b62 + "!#$%&*+-/@^_", 10, 0.9), (string.ascii_lowercase, 16, 0.999), (string.digits, 16, 0.99), ("0123456789abcdef", 20, 0.999)):
+        found = sum(secrets.guesses("".join(rng.choice(alphabet) for _ in range(n))) >= secrets.LEAST for _ in range(1000))
+        assert found >= 1000 * least, (alphabet, n, found)
+    weak = "password1 Password123 qwerty123456 letmein2024 summer2019! admin@2020 iloveyou1234 changeme123 P@ssw0rd! monkey12 1q2w3e4r5t 1qaz2wsx3edc abc123456 20240131 john1985 welcome1! aaaaaaaaaaaaaaa 12345678901234567890 2001-12-31"
+    prose = "understanding documentation responsibility Foundation conditions distributed particular merchantability modification everything environment organisation transportation comfortable independent international configuration disclaimer administrator development"
+    assert [w for w in (weak + " " + prose).split() if secrets.guesses(w) >= secrets.LEAST] == []
+    few = secrets.dictionary(None)
+    assert len(few) < 100 and sum(secrets.guesses(w, few) >= secrets.LEAST for w in prose.split()) > 5 and len(secrets.dictionary()) > 30_000
+
+
+def test_ids_of_other_types(spark):
+    rows = [(1, "password: hunter2xyz9"), (None, None)]
+    for kind in ("int", "string"):
+        got = secrets.scan(spark.createDataFrame([(None if a is None else a if kind == "int" else str(a), b) for a, b in rows], f"doc_id {kind}, text string")).collect()
+        assert sorted(((r.doc_id, r.n_assign) for r in got), key=str) == [(1, 1), (None, 0)]
+
+
 def brute_prints(rows):
     out = []
     for d, t, *_ in rows:
@@ -320,13 +343,58 @@ def test_mixing(spark, edge_docs, edge_rows):
     assert ((p.probability > 0) & (p.probability <= 1)).all()
     ids = {r.doc_id for r in mixing.sample(docs.repartition(7), given).collect()}
     assert ids == set(p[p.kept].doc_id)
-    cells = mixing.cells_of(docs)
-    here, there = ({tuple(r)[:3]: r.probability for r in mixing.rake(cells, given, driver_cells=n).collect()} for n in (100, 0))
-    assert here.keys() == there.keys() and all(there[k] == pytest.approx(v, rel=1e-6) for k, v in here.items())
     assert mixing.mix(edge_docs).count() == len(edge_rows) and mixing.sample(edge_docs).columns == edge_docs.columns
     assert mixing.mix(edge_docs.limit(0)).count() == 0 and mixing.sample(edge_docs.limit(0)).count() == 0
 
 
+def brute_rake(cells, given, keep, sweeps):
+    """cells: {(source, lang, topic): tokens}. Raking in plain loops."""
+    p = dict.fromkeys(cells, keep)
+    budget = keep * sum(cells.values())
+    for _ in range(sweeps):
+        for m in range(3):
+            tokens = {}
+            for c, t in cells.items():
+                tokens[c[m]] = tokens.get(c[m], 0) + t
+            tokens = {v: t for v, t in tokens.items() if t > 0}
+            own = given.get(mixing.MARGINS[m])
+            if own is None:
+                raw = {v: t**mixing.SOFTEN for v, t in tokens.items()}
+            else:
+                free = sum(t for v, t in tokens.items() if v not in own)
+                raw = {v: own[v] if v in own else max(0, 1 - sum(own.values())) * t / free for v, t in tokens.items()}
+            total = sum(raw.values()) or 1
+            mass = {v: sum(p[c] * t for c, t in cells.items() if c[m] == v) for v in raw}
+            for c in p:
+                if mass.get(c[m], 0) > 0:
+                    p[c] = min(1.0, p[c] * raw[c[m]] / total * budget / mass[c[m]])
+    return p
+
+
+@pytest.mark.parametrize(
+    "given",
+    [
+        {}, {"source": {"a": 0.5, "b": 0.35}, "lang": {"en": 0.75, "fr": 0.25}}, {"source": {"a": 0.0}}, {"source": {"a": 0.0, "b": 0.0, "c": 0.0}}, {"source": {"a": 0.9, "zz": 0.3}},
+        {"topic": {"t": 1.0}}, {"lang": {"en": 1.0, "fr": 0.0}, "source": {"b": 1.0}}, {"source": {"a": 2.0, "b": 1.0}},
+    ],
+)
+def test_raking_by_hand(spark, given):
+    """Probabilities by plain loops, in arrays and in Spark: zero, absent, unmet and excessive targets, cells without tokens."""
+    cells = {("a", "en", "t"): 600, ("a", "fr", "t"): 90, ("b", "en", "t"): 200, ("b", "en", "u"): 0, ("c", "fr", "u"): 40, ("c", "en", "t"): 0, (mixing.NONE, "en", "u"): 7, ("d", "xx", "v"): 0}
+    want = brute_rake(cells, given, 0.6, 3)
+    table = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, topic string, tokens long")
+    for driver_cells in (100, 0):
+        got = {tuple(r)[:3]: r.probability for r in mixing.rake(table, given, sweeps=3, tolerance=0, driver_cells=driver_cells).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(v, rel=1e-9, abs=1e-12) for k, v in want.items()), driver_cells
+
+
+def test_topics(spark):
+    """The topic with most of its words in a text; ties and texts without any."""
+    texts = ["The team won the match and the league season", "Doctors gave the patient a vaccine in hospital", None, "", "zzz", "court market", "The COURT heard the lawyer"]
+    got = [r.t for r in spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", mixing.topic_of(mixing.blank_words(F.col("text"))).alias("t")).orderBy("i").collect()]
+    assert got == ["sport", "health", "general", "general", "general", "business", "law"]
+
+
 @pytest.mark.parametrize("law", ["bytes", "rows"])
 def test_sharding(spark, edge_docs, edge_rows, law):
     got = sharding.assign(edge_docs, 5, law).collect()

@@ -6,9 +6,11 @@ the expected tokens of each source, language and topic meet their target, which
 a hash of its id and text; so the kept tokens have the target shares in expectation, and a rerun keeps the same.
 
 Up to DRIVER_CELLS cells are raked in arrays at the driver; more stay in Spark, where each sweep is written and the
-driver sees one number of it. Both do the same arithmetic. Targets of a margin are given as shares, or by default its observed shares to the power SOFTEN,
-made to sum to 1; values without a given target share what is left of 1 as they were observed. Margins that no
-probabilities up to 1 can meet end after SWEEPS with the nearest that raking came to: their cells are kept whole.
+driver sees one number of it. Both do the same arithmetic, zero and unmet targets included. Targets of a margin are given as
+shares, or by default its observed shares to the power SOFTEN, made to sum to 1; values without a given target share
+what is left of 1 as they were observed. A target of zero keeps nothing of its value, and a margin whose targets are
+all zero nothing at all. Margins that no probabilities up to 1 can meet end after SWEEPS with the nearest that raking
+came to: their cells are kept whole.
 
 Nulls: a null source, language or topic is a value of its own, shown as NONE; a null text has no tokens and the
 probability of its cell. A cell without tokens is kept as KEEP says. Equal rows meet one fate. Extra
@@ -16,7 +18,6 @@ columns are kept by ``sample``; a column `topic` is used where there is one."""
 
 from __future__ import annotations
 
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,31 +32,37 @@ KEEP = 0.6
 SWEEPS = 20
 TOLERANCE = 1e-4
 SEED = 20
+#: A probability that moves are measured against at least; cells of a zero target have none.
+TINY = 1e-300
 #: Cells that the driver takes at most: some 10 MB.
 DRIVER_CELLS = 100_000
 
-# Words that place a text without a topic of its own; the first that stands in it decides.
-TOPICS = [
-    ("legal", ("license", "copyright", "gdpr")),
-    ("technical", ("http", "token", "akia", "password")),
-    ("contact", ("@", "+1", "tel")),
-    ("tabular", (" | ",)),
-]
-
-
-def topic_of(text: Column) -> Column:
-    low = F.lower(text)
-    out = F.lit("general")
-    for name, words in reversed(TOPICS):
-        out = F.when(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words]), F.lit(name)).otherwise(out)
-    return F.coalesce(out, F.lit("general"))
-
-
-def margins_of(docs: DataFrame) -> list[Column]:
+# Frequent English words of a few fields, the fields in the order that settles ties.
+TOPICS = {
+    "science": "science scientists research theory experiment species energy physics biology chemistry climate planet cells data species evidence laboratory",
+    "technology": "software computer internet code programming server network database algorithm device app users digital online website version",
+    "business": "market company business investors economy bank trade sales price revenue profit stock industry customers financial growth",
+    "politics": "government president election minister party parliament policy vote senate campaign political congress state leader democratic republican",
+    "law": "court law judge legal lawyer license copyright trial police crime rights contract justice attorney liability plaintiff",
+    "health": "health hospital patient patients doctor doctors disease medical vaccine treatment drug symptoms virus surgery diet clinical",
+    "sport": "team match league season player players coach goal football championship tournament race olympic cup score stadium",
+    "arts": "music film book art novel album song theatre artist movie museum poem stage painting author band",
+}
+
+
+def topic_of(words: Column) -> Column:
+    """The field with most of its words among the words of a text; `general` for texts with none."""
+    known = {w for own in TOPICS.values() for w in own.split()}
+    some = F.filter(F.transform(words, F.lower), lambda w: w.isin(sorted(known)))
+    votes = [F.struct(F.size(F.array_intersect(some, F.array(*map(F.lit, sorted(set(own.split())))))).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, own) in enumerate(TOPICS.items())]
+    best = F.array_max(F.array(*votes))
+    return F.when(F.size(some) > 0, best["name"]).otherwise("general")
+
+
+def margins_of(docs: DataFrame, words: Column) -> list[Column]:
     """The cell of a document, as columns named like MARGINS."""
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
-    topic = value("topic") if "topic" in docs.columns else topic_of(F.coalesce("text", F.lit("")))
-    return [value("source").alias("source"), value("lang").alias("lang"), topic.alias("topic")]
+    return [value("source").alias("source"), value("lang").alias("lang"), (value("topic") if "topic" in docs.columns else topic_of(words)).alias("topic")]
 
 
 def targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> DataFrame:
@@ -68,7 +75,7 @@ def targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> Da
         rest = max(0.0, 1.0 - sum(given.values()))
         seen = seen.withColumn("given", share)
         free = seen.where("given is null").agg(F.sum("t")).first()[0] or 1
-        seen = seen.withColumn("raw", F.coalesce("given", F.lit(rest / free) * F.col("t")))
+        seen = seen.withColumn("raw", F.coalesce("given", F.lit(float(rest)) * F.col("t") / F.lit(float(free))))
     total = seen.agg(F.sum("raw")).first()[0] or 1.0
     return seen.select("value", (F.col("raw") / F.lit(total)).alias("target"))
 
@@ -84,8 +91,7 @@ def _rake_in_spark(cells: DataFrame, given: dict[str, dict[str, float]], keep: f
             mass = now.groupBy(m).agg(F.sum(F.col("probability") * F.col("tokens")).alias("mass"))
             scale = mass.join(wanted[m].withColumnRenamed("value", m), m, "left").select(m, F.when(F.col("mass") > 0, F.col("target") * budget / F.col("mass")).alias("scale"))
             moved = F.least(F.lit(1.0), F.col("probability") * F.coalesce("scale", F.lit(1.0)))
-            # what a margin still had to move, but for cells that are whole
-            off = F.when((F.col("probability") < 1) | (moved < 1), F.abs(moved / F.col("probability") - 1)).otherwise(0.0)
+            off = F.abs(moved / F.greatest("probability", F.lit(TINY)) - 1)
             now = now.join(scale, m).select(*MARGINS, "tokens", moved.alias("probability"), off.alias(f"off_{m}"), *[c for c in now.columns if c.startswith("off_")])
         now = written(now, "cells")
         off = now.where("tokens > 0").agg(F.max(F.greatest(*[f"off_{m}" for m in MARGINS]))).first()[0]
@@ -123,7 +129,7 @@ def _rake_at_driver(rows: list, given: dict[str, dict[str, float]], keep: float,
             scale = np.divide(target, mass, out=np.ones_like(target), where=mass > 0)[code]
             moved = np.minimum(1.0, p * scale)
             if (some := tokens > 0).any():
-                off = max(off, float(np.abs(moved[some] / np.maximum(p[some], 1e-300) - 1).max()))
+                off = max(off, float(np.abs(moved[some] / np.maximum(p[some], TINY) - 1).max()))
             p = moved
         if off < tolerance:
             break
@@ -146,21 +152,25 @@ def chance() -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", *row_key(F.col("text"))), 11) / F.lit(float(1 << 53))
 
 
-def cells_of(docs: DataFrame) -> DataFrame:
-    return docs.select(*margins_of(docs), F.size(blank_words(F.col("text"))).cast("long").alias("n")).groupBy(*MARGINS).agg(F.sum("n").alias("tokens"))
+def tagged(docs: DataFrame) -> DataFrame:
+    """The documents as `_row`, with the id, cell, tokens and chance of each."""
+    row = docs.select(F.struct("*").alias("_row"), "doc_id", *[c for c in (*MARGINS, "text") if c in docs.columns], blank_words(F.col("text")).alias("_words"))
+    return row.select("_row", "doc_id", *margins_of(docs, F.col("_words")), F.size("_words").cast("long").alias("n_tokens"), chance().alias("chance"))
+
+
+def cells_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"))
 
 
 def mix(docs: DataFrame, given: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, n_tokens, probability, kept."""
-    n = F.size(blank_words(F.col("text"))).cast("long")
-    rows = written(docs.select("doc_id", *margins_of(docs), n.alias("n_tokens"), chance().alias("chance")), "rows")
-    cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), given)
-    found = rows.join(cells, list(MARGINS))
+    rows = written(tagged(docs).drop("_row"), "rows")
+    found = rows.join(rake(cells_of(rows), given), list(MARGINS))
     return found.select("doc_id", *MARGINS, "n_tokens", "probability", (F.col("chance") < F.col("probability")).alias("kept"))
 
 
 def sample(docs: DataFrame, given: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    cells = rake(cells_of(docs), given).select(*MARGINS, "probability")
-    row = docs.select(F.struct("*").alias("_row"), *margins_of(docs), chance().alias("chance"))
-    return row.join(cells, list(MARGINS)).where("chance < probability").select("_row.*")
+    rows = tagged(docs)
+    cells = rake(cells_of(rows), given).select(*MARGINS, "probability")
+    return rows.join(cells, list(MARGINS)).where("chance < probability").select("_row.*")
