@@ -1,29 +1,37 @@
 """Main text of web pages: a linear-chain conditional random field over DOM leaf blocks.
 
-A page is cut into leaf blocks (text between block-level tags); each has features of its ancestors' tags and names
-and of its text. The field has two labels, article and other, is trained by gradient ascent on labelled pages
-(made from layouts, PAGES of them, at the driver), and is decoded by Viterbi. Article blocks are joined in order.
+A page is cut into leaf blocks (text between block-level tags); each has features of its ancestors' tags and names,
+of its text and its neighbours', and of its container: the text that is not in links is summed up the tree, and tells
+the part of the page with most of it from what stands beside it. So pages whose names say nothing are read by place
+and text. The field has two labels, article and other, is trained by gradient ascent on labelled pages (made from
+layouts, PAGES of them, at the driver), and is decoded by Viterbi. Article blocks are joined in order.
 
-A null or blank page gives an empty text. Pages of any length are read whole, in linear time. Equal rows get equal
-results; extra columns are not read."""
+A null or blank page gives an empty text. Pages of any length are read whole, in linear time: tags that never end
+take the rest of the page, and only names that the field knows are kept. Equal rows get equal results; extra columns
+are not read."""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tollway.llm import pages, rolling
 from tollway.llm.common import small_batches
 
 #: Labelled pages that the field is trained on, and passes over them.
 PAGES, PASSES, RATE, DECAY = 800, 250, 0.1, 1e-4
+#: Pages that a feature must stand on to be learnt.
+RARE = 4
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|(noscript|template|svg|select|iframe)(?=[\s/>]))""", re.DOTALL | re.IGNORECASE)
+TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|(noscript|template|svg|select|iframe)(?=[\s/>]))""", re.DOTALL | re.IGNORECASE)
 #: Elements that are skipped up to their closing tag, if there is one; of TAG's own, bare text, an unclosed one takes the rest of the page.
 SKIPPED = {x: re.compile(rf"</{x}\s*>", re.IGNORECASE) for x in ("noscript", "template", "svg", "select", "iframe")}
 # Block-level elements, and those that can't hold others.
@@ -38,10 +46,29 @@ PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
-def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
-    """(text, features of the ancestors, characters within links) of each leaf block that has text."""
-    found, stack, text, linked = [], [], [], 0
-    anchors = 0
+class Block(NamedTuple):
+    text: str
+    #: features of the ancestors
+    names: frozenset[str]
+    #: characters within links
+    linked: int
+    #: the nearest element, and the nearest container's number
+    tag: str
+    box: int
+
+
+#: Elements that hold a piece of text rather than a part of a page.
+PIECES = set("address blockquote button caption dd dl dt figcaption h1 h2 h3 h4 h5 h6 hr label legend li ol p pre summary tbody tfoot thead th tr ul".split())
+
+
+def blocks(page: str, known: frozenset[str] | None = None) -> tuple[list[Block], list[int]]:
+    """Each leaf block that has text, and the parent of each container. Of the ancestors' features those in `known` are kept."""
+    found: list[Block] = []
+    stack: list[tuple[str, frozenset[str], int]] = []
+    open_: dict[str, int] = {}
+    boxes = [0]
+    text: list[str] = []
+    linked = anchors = 0
     names: frozenset[str] = frozenset()
 
     def end():
@@ -49,7 +76,7 @@ def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
         if text:
             clean = SPACE.sub(" ", html.unescape("".join(text))).strip()
             if clean:
-                found.append((clean, names, linked))
+                found.append(Block(clean, names, linked, stack[-1][0] if stack else "", stack[-1][2] if stack else 0))
             text.clear()
         linked = 0
 
@@ -58,12 +85,20 @@ def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
         own = {"<" + tag}
         for m in NAME.finditer(rest) if rest else ():
             own.update("." + x for x in PART.findall((m[1] or m[2] or m[3] or "").lower()))
-        stack.append((tag, names))
-        names = names | own
+        box = stack[-1][2] if stack else 0
+        if tag not in PIECES:
+            boxes.append(box)
+            box = len(boxes) - 1
+        stack.append((tag, names, box))
+        open_[tag] = open_.get(tag, 0) + 1
+        names = names | own if known is None else names | (own & known)
 
     def pop(to: int):
         nonlocal names
         names = stack[to][1]
+        for tag, *_ in stack[to:]:
+            open_[tag] -= 1
+        # what stands above in the stack keeps its container
         del stack[to:]
 
     at, endless = 0, set()
@@ -91,10 +126,11 @@ def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
             end()
             anchors = 0
             if m[2]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        pop(i)
-                        break
+                if open_.get(tag):
+                    i = len(stack) - 1
+                    while stack[i][0] != tag:
+                        i -= 1
+                    pop(i)
             else:
                 for other in CLOSES.get(tag, ()):
                     if stack and stack[-1][0] == other:
@@ -104,37 +140,82 @@ def blocks(page: str) -> list[tuple[str, frozenset[str], int]]:
     if at < len(page):
         text.append(page[at:])
     end()
-    return found
+    return found, boxes
+
 
+def weighed(page: list[Block], boxes: list[int]) -> tuple[list[int], set[int]]:
+    """Unlinked characters in sentences, of each container by itself; and the containers within the smallest one that has MOST of all."""
+    own = [0] * len(boxes)
+    for x in page:
+        n = len(x.text) - x.linked
+        own[x.box] += n if n > 60 or x.text[-1] in ENDS else n // 8
+    below = list(own)
+    for i in range(len(boxes) - 1, 0, -1):
+        below[boxes[i]] += below[i]
+    main = max((i for i in range(len(boxes)) if below[i] >= MOST * below[0]), default=0)
+    inside = {main}
+    for i in range(main + 1, len(boxes)):
+        if boxes[i] in inside:
+            inside.add(i)
+    return own, inside
 
-def features(page: list[tuple[str, frozenset[str], int]]) -> list[list[str]]:
+
+#: Share of a page's text that its main part has.
+MOST = 0.6
+ENDS = ".!?:…"
+# Words in the headings of reader comments, and beginnings of lines about an author or a date.
+REPLIES = re.compile(r"(?i)\b(comments?|repl(?:y|ies)|responses|discussion|kommentare?|commentaires?|comentarios)\b")
+BYLINE = re.compile(r"(?i)(?:(?:posted|written|published|updated|veröffentlicht|publié|publicado) (?:by|on|at|in|von|am|par|le|por|el)\b|(?:by|von|par|por) \S+(?: \S+){0,5}$)")
+
+
+def features(page: list[Block], boxes: list[int]) -> list[list[str]]:
     """Names of the features of each block."""
     out = []
-    for i, (text, names, linked) in enumerate(page):
-        own = ["bias", *names]
+    weight, inside = weighed(page, boxes)
+    most, replies = max(weight), False
+    size = ["edge", *(f"{min(len(x.text).bit_length(), 9) // 2}{'linked' if 2 * x.linked > len(x.text) else ''}" for x in page), "edge"]
+    for i, (text, names, linked, tag, box) in enumerate(page):
+        own = ["bias", *names, "own " + tag, "before " + size[i], "after " + size[i + 2]]
         n = len(text)
         own.append(f"length{min(n.bit_length(), 10)}")
         own.append("linked" if 2 * linked > n else "unlinked")
-        if text[-1] in ".!?:…":
+        if text[-1] in ENDS:
             own.append("sentence")
-        if "©" in text or "copyright" in text[:200].lower():
+        if "©" in text or "copyright" in text.lower():
             own.append("rights")
         if i == len(page) - 1:
             own.append("last")
+            if own[-2] == "rights":
+                own.append("last rights")
         named = any(x[0] == "." for x in names)
         if not ({"<article", "<main"} & names):
             own.append("outside" if named or SIDE & names else "bare")
         if "<article" in names and not named:
             own.append("plain article")
+        own.append("heaviest" if weight[box] == most else "heavy" if 4 * weight[box] >= most else "light")
+        own.append("within" if box in inside else "beside")
+        heading = tag in HEADINGS
+        if heading:
+            own.append("heading")
+        if n < 60 and REPLIES.search(text) and (heading or not replies):
+            replies = True
+        if replies:
+            own.append("replies")
+        if n < 80 and text[-1] not in ENDS and BYLINE.match(text):
+            own.append("byline")
         out.append(own)
     return out
 
 
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+
 class Field:
     """Weights of features for the label 1, and of label pairs."""
 
     def __init__(self, weights: dict[str, float], pairs: np.ndarray):
         self.weights, self.pairs = weights, pairs
+        self.known = frozenset(x for x in weights if x[0] in "<.")
 
     def scores(self, page: list[list[str]]) -> list[float]:
         get = self.weights.get
@@ -159,19 +240,17 @@ class Field:
 def train(labelled: list[tuple[list[list[str]], list[int]]], passes: int = PASSES) -> Field:
     """Ascends the mean log-likelihood, over all pages at once, with forward-backward in probabilities (Adam steps)."""
     labelled = [x for x in labelled if x[1]]
-    index: dict[str, int] = {}
-    for page, _ in labelled:
-        for own in page:
-            for f in own:
-                index.setdefault(f, len(index))
+    seen_on = Counter(f for page, _ in labelled for f in {f for own in page for f in own})
+    index = {f: i for i, f in enumerate(f for f, n in seen_on.items() if n >= min(RARE, len(labelled)))}
     size, steps = len(labelled), max(len(y) for _, y in labelled)
     cell, feature = [], []
     real, gold = np.zeros((size, steps), bool), np.zeros((size, steps), np.int64)
     for i, (page, y) in enumerate(labelled):
         real[i, : len(y)], gold[i, : len(y)] = True, y
         for j, own in enumerate(page):
+            own = [index[f] for f in own if f in index]
             cell += [i * steps + j] * len(own)
-            feature += [index[f] for f in own]
+            feature += own
     cell, feature = np.array(cell), np.array(feature)
     w = np.zeros(len(index) + 4)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -205,13 +284,13 @@ def train(labelled: list[tuple[list[list[str]], list[int]]], passes: int = PASSE
 def field(n: int = PAGES, passes: int = PASSES) -> Field:
     """The field trained on pages 0 to n - 1; the same each time."""
     made = [pages.Page(i) for i in range(n)]
-    return train([(features(blocks("".join(x.html))), [y for _, y in x.blocks]) for x in made], passes)
+    return train([(features(*blocks("".join(x.html))), [y for _, y in x.blocks]) for x in made], passes)
 
 
 def main_text(page: str, model: Field) -> str:
-    found = blocks(page)
-    labels = model.decode(model.scores(features(found)))
-    return "\n\n".join(text for (text, _, _), y in zip(found, labels, strict=True) if y)
+    found, boxes = blocks(page, model.known)
+    labels = model.decode(model.scores(features(found, boxes)))
+    return "\n\n".join(x.text for x, y in zip(found, labels, strict=True) if y)
 
 
 def extract(rows: DataFrame, model: Field | None = None) -> DataFrame:
@@ -224,4 +303,4 @@ def extract(rows: DataFrame, model: Field | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     small_batches(rows.sparkSession)
-    return rows.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
