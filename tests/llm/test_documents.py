@@ -253,7 +253,7 @@ def test_blocks_find_every_link(spark):
 
 
 def test_near_copies_of_the_pipeline(spark):
-    """Most texts that share 0.82 of their five-word shingles become one (scattered changes are the hardest); unrelated texts of the same words stay."""
+    """Texts that share 0.82 of their five-word shingles become one (scattered changes are the hardest); unrelated texts of the same words stay."""
     rng = np.random.default_rng(8)
     words = [f"{a}{b}" for a in ("stone", "river", "cloud", "the", "of", "and", "run", "seven") for b in ("", "s", "ing", "er", "ed", "ly")]
     base = [rng.choice(words, 300).tolist() for _ in range(30)]
@@ -264,7 +264,7 @@ def test_near_copies_of_the_pipeline(spark):
             copy[at] = "changed"
         rows.append((100 + i, " ".join(copy)))
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), **simhash.NEAR).collect()}
-    assert set(range(30)) <= kept and len(kept - set(range(30))) <= 5
+    assert set(range(30)) <= kept and len(kept - set(range(30))) <= 2
 
 
 def test_pipeline_links_are_pairs_at_the_share(spark):

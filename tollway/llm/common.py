@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,16 +44,43 @@ def partitions(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Where no such folder is set (tests on one machine), one under the system's temporary folder is set."""
+    Where no such folder is set, one under the system's temporary folder serves a session on one machine (tests); on a
+    cluster it is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
-        import tempfile
-
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = f"file://{tempfile.gettempdir()}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables written in the steps that are under way, the innermost last.
+_steps: ContextVar[tuple[set[str], ...]] = ContextVar("steps", default=())
+
+
+@contextmanager
+def step(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A step whose ``written`` tables go when it ends, but for those that are handed to the function it yields."""
+    outer, mine, kept = _steps.get(), set(), set()
+    token = _steps.set((*outer, mine))
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.add(table.folder_)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _steps.reset(token)
+        if outer:
+            outer[-1].update(kept)
+        conf = spark._jsc.hadoopConfiguration()
+        for folder in mine - kept:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 #: Settings that bound what is sent to a Python worker at once, and their values here and by default.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("1000", "10000"), "spark.sql.execution.arrow.maxBytesPerBatch": (str(4 << 20), "67108864")}
 
@@ -74,4 +106,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
+    for folders in _steps.get()[-1:]:
+        folders.add(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder_ = path
+    return out

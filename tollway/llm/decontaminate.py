@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
-from tollway.llm.common import row_key, written
+from tollway.llm.common import row_key, step, written
 
 WINDOW = 13
 SHINGLE = 5
@@ -177,18 +177,19 @@ def prefixes(rows: DataFrame, every: DataFrame) -> DataFrame:
 def _matched(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
     rows = exchange.keyed(docs)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    every = written(shingles(items, window, shingle), "windows")
-    picked = prefixes(rows, every)
-    probes = written(rows.mapInArrow(_probe(Sieve(picked), window), "doc_id long, k1 long, k2 long, n_words long, h long, at long, lead int, around string"), "probes")
-    target = picked.join(every.select("window", "words", "size").distinct(), "window")
-    found = probes.where("h is not null").join(target, "h").where(_contained())
-    found = written(found.select(*KEY, (F.col("at") - F.col("shift")).alias("at"), "size", "window").distinct(), "found")
-    named = found.join(every.select("window", "item_id").distinct(), "window")
-    hits = named.groupBy(*KEY).agg(F.collect_set("item_id").alias("items")).withColumnsRenamed({c: f"_{c}" for c in KEY})
-    spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "size")).alias("spans"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["_doc_id"]) & (a["k1"] == b["_k1"]) & (a["k2"] == b["_k2"])
-    hits = written(spans.join(hits, same(spans, hits)).select("_doc_id", "_k1", "_k2", "spans", "items"), "hits")
-    own = probes.where("n_words is not null").select(*KEY, "n_words")
+    with step(docs.sparkSession) as keep:
+        every = written(shingles(items, window, shingle), "windows")
+        picked = prefixes(rows, every)
+        probes = written(rows.mapInArrow(_probe(Sieve(picked), window), "doc_id long, k1 long, k2 long, n_words long, h long, at long, lead int, around string"), "probes")
+        target = picked.join(every.select("window", "words", "size").distinct(), "window")
+        found = probes.where("h is not null").join(target, "h").where(_contained())
+        found = written(found.select(*KEY, (F.col("at") - F.col("shift")).alias("at"), "size", "window").distinct(), "found")
+        named = found.join(every.select("window", "item_id").distinct(), "window")
+        hits = named.groupBy(*KEY).agg(F.collect_set("item_id").alias("items")).withColumnsRenamed({c: f"_{c}" for c in KEY})
+        spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+        hits = keep(written(spans.join(hits, same(spans, hits)).select("_doc_id", "_k1", "_k2", "spans", "items"), "hits"))
+        own = keep(written(probes.where("n_words is not null").select(*KEY, "n_words"), "words"))
     out = own.join(hits, same(own, hits), "left").select(*KEY, "n_words", "spans", "items")
     out = out.mapInArrow(_sum, "doc_id long, k1 long, k2 long, n_words long, n_hit long, n_items long, items_sha256 string")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
@@ -201,8 +202,9 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    bad = _matched(docs, benchmark, window, shingle).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    bad = written(bad, "contaminated")  # a table's size is known, so that a small one is broadcast and texts stay where they are
+    with step(docs.sparkSession) as keep:
+        bad = _matched(docs, benchmark, window, shingle).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
+        bad = keep(written(bad, "contaminated"))  # a table's size is known, so that a small one is broadcast and texts stay where they are
     k1, k2 = row_key(F.col("text"))
     row = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), k1.alias("_a"), k2.alias("_b"))
     same = row["_doc"].eqNullSafe(bad["_id"]) & (row["_a"] == bad["_k1"]) & (row["_b"] == bad["_k2"])

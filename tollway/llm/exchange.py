@@ -14,7 +14,7 @@ Documents are told apart by (doc_id, k1, k2)."""
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +151,26 @@ def _collect(batches):
                     yield _rows(SPANS, rows)
 
 
+def sorted_runs(batches, keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches that are sorted by it."""
+    open_: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in keys]
+        cut = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
+            key = tuple(c[a] for c in cols)
+            if key != last and open_:
+                yield pa.Table.from_batches(open_)
+                open_ = []
+            last = key
+            open_.append(batch.slice(a, b - a))
+    if open_:
+        yield pa.Table.from_batches(open_)
+
+
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(F.col("text")), "text", *more)

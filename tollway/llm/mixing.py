@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollway.llm.common import blank_words, row_key, written
+from tollway.llm.common import blank_words, row_key, step, written
 
 MARGINS = ("source", "lang", "topic")
 NONE = "(none)"
@@ -98,7 +98,7 @@ def _rake_in_spark(cells: DataFrame, given: dict[str, dict[str, float]], keep: f
         cells = now.select(*MARGINS, "tokens", "probability")
         if off is None or off < tolerance:
             break
-    return cells
+    return written(cells, "cells")
 
 
 def shares(tokens: dict[str, float], given: dict[str, float] | None) -> dict[str, float]:
@@ -136,15 +136,16 @@ def _rake_at_driver(rows: list, given: dict[str, dict[str, float]], keep: float,
     return p.tolist()
 
 
-def rake(cells: DataFrame, given: dict[str, dict[str, float]] | None = None, keep: float = KEEP, sweeps: int = SWEEPS, tolerance: float = TOLERANCE, driver_cells: int = DRIVER_CELLS) -> DataFrame:
+def rake(cells: DataFrame, given: dict[str, dict[str, float]] | None = None, keep_share: float = KEEP, sweeps: int = SWEEPS, tolerance: float = TOLERANCE, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """cells (margins, tokens) with probability."""
-    cells = written(cells, "cells")
-    if cells.count() > driver_cells:
-        return _rake_in_spark(cells, given or {}, keep, sweeps, tolerance)
-    rows = sorted(cells.collect())
-    found = _rake_at_driver(rows, given or {}, keep, sweeps, tolerance) if rows else []
-    out = cells.sparkSession.createDataFrame([(*r, p) for r, p in zip(rows, found, strict=True)], "source string, lang string, topic string, tokens long, probability double")
-    return written(out, "cells")  # a table's size is known, so that a small one is broadcast
+    with step(cells.sparkSession) as keep:
+        cells = written(cells, "cells")
+        if cells.count() > driver_cells:
+            return keep(_rake_in_spark(cells, given or {}, keep_share, sweeps, tolerance))
+        rows = sorted(cells.collect())
+        found = _rake_at_driver(rows, given or {}, keep_share, sweeps, tolerance) if rows else []
+        out = cells.sparkSession.createDataFrame([(*r, p) for r, p in zip(rows, found, strict=True)], "source string, lang string, topic string, tokens long, probability double")
+        return keep(written(out, "cells"))  # a table's size is known, so that a small one is broadcast
 
 
 def chance() -> Column:

@@ -1,10 +1,15 @@
 """Documents whose sets of shingles have a share in common (Jaccard): every such pair is found, and no other is linked.
 
-The fingerprints' trie proposes pairs, which are verified on the whole sets; what it misses is found by a prefix
-filter. In any one order of all shingles, two sets with the share in common meet within their first
-n - ceil(share * n) + 1 shingles. The order is rarest first, by counts in a sample of the documents: the counts
-decide the work, not the result. Pairs that are in one component already are passed over, so that a large group of
-near copies, which the trie and the first members of each shingle have linked, costs no pair of each two.
+Two sets with the share in common meet, in any one order of all shingles, within their first
+n - ceil(share * n) + 1. The order is rarest first: shingles that occur once in the corpus (``exchange``), which have no
+one to meet, then by counts over all documents in WIDTH cells that shingles are hashed to. A document with enough
+shingles of its own can have no partner and takes no further part. The counts decide the work, not the result.
+
+Pairs are proposed in three ways and verified on the whole sets: by the fingerprints' trie; by rounds in which a few
+leaders of each crowded shingle meet all others; and at last by all pairs of sets of different components that share
+a shingle of their prefixes, each looked at where its least common shingle is, and kept if their prefixes allow the
+share. A large group of near copies is one component after the first two, so that the third finds little left of it.
+Crowded shingles are cut into chunks, so that no task takes more than two of them.
 
 A set goes by a 64-bit hash of its shingles' hashes. Blank texts have the empty set, which is equal to itself only."""
 
@@ -20,21 +25,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling, simhash
-from tollway.llm.common import small_batches, written
-
-#: Documents whose shingles are counted for the order, and counts that are held at most.
-SAMPLE, COUNTS = 20_000, 200_000
-#: A shingle that so many sets have is crowded: its first LEADERS sets meet all others before any two meet.
-CROWD, LEADERS = 32, 3
-#: Pairs that are looked at at once.
-PAIRS = 1 << 20
+from tollway.llm.common import written
+
+#: Cells of the counts (8 bytes each at the driver and in every task), and slices that they are summed in.
+WIDTH, SLICES = 1 << 20, 64
+#: A shingle that so many sets have is crowded: a few LEADERS meet all others, in ROUNDS, before any two meet.
+CROWD, LEADERS, ROUNDS = 16, 3, 3
+#: Sets of a shingle in one chunk; groups above SMALL are compared by bits; pairs that are compared at once.
+CHUNK, SMALL, PAIRS = 2048, 24, 1 << 18
 PRINTS = "doc_id long, k1 long, k2 long, fp long, own long, n int, prefix binary"
 
 
-def sets_of(column: pa.Array, shingle: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted hashes of the distinct shingles of each text, and the texts' fingerprints."""
+def sets_of(column: pa.Array, shingle: int) -> list[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text."""
     h, many = simhash.hashes_of(column, shingle)
-    return [np.unique(x) for x in np.split(h, np.cumsum(many)[:-1])], simhash.majorities(h, many)
+    return [np.unique(x) for x in np.split(h, np.cumsum(many)[:-1])]
+
+
+def cells_of(x: simhash.Shingles) -> np.ndarray:
+    """The cell that each shingle is counted in."""
+    return (simhash.rolled(x) % np.uint64(WIDTH)).astype(np.int64)
+
+
+def hasher(shingle: int) -> exchange.Hasher:
+    def hashes(data, at, batch):
+        x = simhash.shingles_of(batch.column("text"), shingle)
+        return simhash.rolled(x), x.left, x.first
+
+    return hashes
 
 
 def name_of(own: np.ndarray) -> int:
@@ -46,168 +64,179 @@ def needed(n: int, share: float) -> int:
     return math.ceil(share * n - 1e-9)
 
 
-def prefix_of(own: np.ndarray, counts: tuple[np.ndarray, np.ndarray], share: float) -> np.ndarray:
-    """The rarest shingles of a set, one of which stands in the prefix of any set that reaches the share with it."""
+def prefix_of(own: np.ndarray, weight: np.ndarray, share: float) -> np.ndarray:
+    """Of the rarest shingles of a set, one of which stands in the prefix of any set that reaches the share with it, those that others may have.
+
+    The order of all shingles is by weight, then by hash; a weight below zero says that no other set has it."""
     if not len(own):
         return own
-    known, many = counts
-    weight = np.zeros(len(own), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-        weight = np.where(known[at] == own, many[at], 0)
-    return own[np.argsort(weight, kind="stable")][: len(own) - needed(len(own), share) + 1]
+    order = np.lexsort((own, weight))[: len(own) - needed(len(own), share) + 1]
+    return own[order[weight[order] >= 0]]
 
 
-def _counts(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand in several documents of a sample, sorted, and in how many."""
-    n = docs.count()
-    one_in = max(1, n // SAMPLE)
+def counted(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How many shingles of all documents each cell has."""
+    width = WIDTH // SLICES
 
-    def each(batches):
+    def count(batches):
+        total = np.zeros(WIDTH, np.int64)
         for batch in rolling.chunks(batches, "text"):
-            own, _ = sets_of(batch.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], names=["h"])
+            total += np.bincount(cells_of(simhash.shingles_of(batch.column("text"), shingle)), minlength=WIDTH)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([exchange.planes(total[i * width : (i + 1) * width]) for i in range(SLICES)], pa.binary())], names=["slice", "body"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, body in zip(batch.column("slice").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                total[i] = total.get(i, 0) + exchange.from_planes(body, np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["slice", "body"])
 
-    some = docs.where(F.pmod(F.xxhash64(F.lit(2), "text"), F.lit(one_in)) == 0).select("text").mapInArrow(each, "h long")
-    rows = some.groupBy("h").count().where("count > 1").orderBy(F.desc("count"), "h").limit(COUNTS).toArrow()
-    h, many = rows.column("h").to_numpy().view(np.uint64), rows.column("count").to_numpy()
-    order = np.argsort(h)
-    return h[order], many[order]
+    parts = docs.select("text").mapInArrow(count, "slice long, body binary").repartition("slice").mapInArrow(add, "slice long, body binary").collect()
+    out = np.zeros(WIDTH, np.int64)
+    for r in parts:
+        out[r["slice"] * width : (r["slice"] + 1) * width] += np.frombuffer(r["body"], np.int64)
+    return out
 
 
 def prints(docs: DataFrame, shingle: int, share: float) -> DataFrame:
     """doc_id, k1, k2, fp, own (the name of its set), n (its size) and prefix of each document."""
-    small_batches(docs.sparkSession)
-    counts = docs.sparkSession.sparkContext.broadcast(_counts(docs, shingle))
+    rows = exchange.keyed(docs)
+    counts = docs.sparkSession.sparkContext.broadcast(counted(docs, shingle))
+    again = exchange.repeats(rows, hasher(shingle), "again", int(counts.value.sum()))
 
     def each(batches):
         for batch in rolling.chunks(batches, "text"):
-            own, fp = sets_of(batch.column("text"), shingle)
-            more = [pa.array(fp.view(np.int64)), pa.array([name_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int32())]
-            more.append(pa.array([prefix_of(x, counts.value, share).tobytes() for x in own], pa.binary()))
+            x = simhash.shingles_of(batch.column("text"), shingle)
+            common = np.zeros(int(x.first[-1]) + 1, bool)
+            for first, hits in zip(x.first.tolist(), batch.column("hits").to_pylist(), strict=False):
+                common[exchange.positions(hits) + first] = True
+            h, weight, cut = simhash.digests(x), np.where(common[x.left], counts.value[cells_of(x)], -1), np.cumsum(x.many)[:-1]
+            fp, own, prefix = simhash.majorities(h, x.many), [], []
+            for mine, w in zip(np.split(h, cut), np.split(weight, cut), strict=True):
+                mine, at = np.unique(mine, return_index=True)
+                own.append(mine)
+                prefix.append(prefix_of(mine, w[at], share).tobytes())
+            more = [pa.array(fp.view(np.int64)), pa.array([name_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int32()), pa.array(prefix, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), *more], names=["doc_id", "k1", "k2", "fp", "own", "n", "prefix"])
 
-    return exchange.keyed(docs).mapInArrow(each, PRINTS)
+    return exchange.joined(rows, exchange.gathered(again), "left").mapInArrow(each, PRINTS)
 
 
 def _flat(batches):
-    """(h, own, n) of each shingle of the prefixes."""
+    """(h, own) of each shingle of the prefixes."""
     for batch in batches:
         h = [np.frombuffer(x, np.int64) for x in batch.column("prefix").to_pylist()]
-        size = [len(x) for x in h]
-        own, n = (np.repeat(batch.column(c).to_numpy(), size) for c in ("own", "n"))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h) if h else np.zeros(0, np.int64)), pa.array(own), pa.array(n)], names=["h", "own", "n"])
-
-
-def _columns(batches, *names: str) -> list[np.ndarray] | None:
-    got = [b for b in batches if b.num_rows]
-    return [np.concatenate([b.column(c).to_numpy() for b in got]) for c in names] if got else None
-
-
-def _shared(batches):
-    """Those of shingles that several sets have."""
-    got = _columns(batches, "h", "own", "n")
-    if got is None:
-        return
-    order = np.argsort(got[0], kind="stable")
-    h, own, n = (x[order] for x in got)
-    again = np.r_[False, h[1:] == h[:-1]]
-    some = np.flatnonzero(again | np.r_[again[1:], False])
-    for k in range(0, len(some), PAIRS):
-        x = some[k : k + PAIRS]
-        yield pa.RecordBatch.from_arrays([pa.array(c[x]) for c in (h, own, n)], names=["h", "own", "n"])
+        own = np.repeat(batch.column("own").to_numpy(), [len(x) for x in h])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h) if h else np.zeros(0, np.int64)), pa.array(own)], names=["h", "own"])
 
 
-def _ranges(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of the run of equal values that each of the sorted values is in."""
-    new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    size = np.diff(np.r_[new, len(h)])
-    return np.repeat(new, size), np.repeat(new + size, size)
+def _pairs(a: np.ndarray, b: np.ndarray, names: tuple[str, str] = ("a", "b")) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=list(names))
 
 
-def _later(own: np.ndarray, n: np.ndarray, top: np.ndarray, many: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs of every element with its next many[i] ones, of other components and of sizes that the share allows."""
-    end = np.cumsum(many)
-    at = 0
-    while at < len(many):
-        to = max(at + 1, int(np.searchsorted(end, (end[at - 1] if at else 0) + PAIRS, "right")))
-        k = many[at:to]
-        i = np.repeat(np.arange(at, to), k)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
-        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        ok = (top[i] != top[j]) & (own[i] != own[j]) & (low >= share * high - 1e-9)
-        i, j = i[ok], j[ok]
-        flip = own[i] > own[j]
-        i, j = np.where(flip, j, i), np.where(flip, i, j)
-        if len(i):
-            yield own[i], own[j], n[i], n[j]
-        at = to
-
-
-def _batch(a, b, na, nb) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(na), pa.array(nb)], names=["a", "b", "na", "nb"])
-
-
-PAIR = "a long, b long, na int, nb int"
-
-
-def _led(share: float):
-    """Pairs of the first sets of a crowded shingle with all its others."""
+def _led(share: float, turn: int):
+    """Pairs of a few sets of each crowded shingle, of its largest component first, with its sets of other components."""
 
     def led(batches):
-        got = _columns(batches, "h", "own", "n")
-        if got is None:
-            return
-        order = np.lexsort((got[1], got[0]))
-        h, own, n = (x[order] for x in got)
-        start, end = _ranges(h)
-        at = np.arange(len(h))
-        many = np.where((end - start > CROWD) & (at - start < LEADERS), end - at - 1, 0)
-        for x in _later(own, n, own, many, share):
-            yield _batch(*x)
+        for run in exchange.sorted_runs(batches, ["h"]):
+            if run.num_rows <= CROWD:
+                continue
+            own, n, top = (run.column(c).to_numpy() for c in ("own", "n", "top"))
+            _, of, many = np.unique(top, return_inverse=True, return_counts=True)
+            order = np.lexsort((own, top, -many[of]))
+            first = turn * LEADERS if turn * LEADERS < many.max() else 0
+            for i in order[first : first + LEADERS]:
+                far = (top != top[i]) & (np.minimum(n, n[i]) >= share * np.maximum(n, n[i]) - 1e-9)
+                if far.any():
+                    yield _pairs(np.full(int(far.sum()), own[i]), own[far])
 
     return led
 
 
+def _enough(c, na, nb, share: float):
+    """Whether sets whose prefixes share c shingles may have the share in common.
+
+    Up to the end of the shorter prefix c are shared; beyond it, all that is left of that set at most."""
+    left = np.maximum(np.ceil(share * na - 1e-9), np.ceil(share * nb - 1e-9)) - 1
+    return c + left >= share / (1 + share) * (na + nb) - 1e-6
+
+
+def _compared(prefix: list[np.ndarray], h: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of prefixes: how many shingles they share, and whether h is the least of them."""
+    if len(prefix) <= SMALL:
+        sets = [set(x.tolist()) for x in prefix]
+        both = [sets[x] & sets[y] for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+        return np.array([len(x) for x in both], np.int64), np.array([min(x) == h for x in both], bool)
+    size = [len(x) for x in prefix]
+    value, column, times = np.unique(np.concatenate(prefix), return_inverse=True, return_counts=True)
+    use = times[column] > 1
+    row, column = np.repeat(np.arange(len(prefix)), size)[use], (np.cumsum(times > 1) - 1)[column[use]]
+    value = value[times > 1]
+    bits = np.zeros((len(prefix), -(-len(value) // 64)), np.uint64)
+    np.bitwise_or.at(bits, (row, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    k = int(np.searchsorted(value, h))
+    word, below = k >> 6, np.uint64((1 << (k & 63)) - 1)
+    c, least = np.zeros(len(i), np.int64), np.ones(len(i), bool)
+    for x in range(bits.shape[1]):
+        both = bits[i, x] & bits[j, x]
+        c += np.bitwise_count(both)
+        if x <= word:
+            least &= (both if x < word else both & below) == 0
+    return c, least
+
+
 def _met(share: float):
-    """Pairs of sets of different components, once for each shingle that both prefixes have."""
+    """The pairs of sets of different components that have h as the least common shingle of their prefixes and may have the share in common."""
 
     def met(batches):
-        got = _columns(batches, "h", "own", "n", "top")
-        if got is None:
-            return
-        order = np.lexsort((got[3], got[0]))
-        h, own, n, top = (x[order] for x in got)
-        start, end = _ranges(h)
-        # components of a shingle, the largest last: its own sets then have no later partner
-        part = np.cumsum(np.r_[True, (h[1:] != h[:-1]) | (top[1:] != top[:-1])])
-        a, b = _ranges(part)
-        order = np.lexsort((part, b - a, h))
-        own, n, top, part = own[order], n[order], top[order], part[order]
-        a, b = _ranges(part)
-        many = np.where(b == end, 0, end - np.arange(len(h)) - 1)
-        for x in _later(own, n, top, many, share):
-            yield _batch(*x)
+        for run in exchange.sorted_runs(batches, ["h", "p", "q"]):
+            h, p, q = (run.column(c)[0].as_py() for c in ("h", "p", "q"))
+            own, n, top, cut = (run.column(c).to_numpy() for c in ("own", "n", "top", "cut"))
+            prefix = [np.frombuffer(x, np.int64) for x in run.column("prefix").to_pylist()]
+            if p == q:
+                left, right = np.arange(len(own)), None
+            else:
+                left, right = np.flatnonzero(cut == p), np.flatnonzero(cut == q)
+            step = max(1, PAIRS // max(1, len(own)))
+            for k in range(0, len(left), step):
+                some = left[k : k + step]
+                if right is None:
+                    i = np.repeat(some, len(own) - 1 - some)
+                    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(len(own) - 1 - some) - (len(own) - 1 - some), len(own) - 1 - some)
+                else:
+                    i, j = np.repeat(some, len(right)), np.tile(right, len(some))
+                ok = (top[i] != top[j]) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]) - 1e-9)
+                i, j = i[ok], j[ok]
+                if len(i):
+                    c, least = _compared(prefix, h, i, j)
+                    ok = least & _enough(c, n[i], n[j], share)
+                    if ok.any():
+                        yield _pairs(own[i[ok]], own[j[ok]])
 
     return met
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, share: float) -> DataFrame:
-    """(u, v): the pairs (a, b) of sets that have the share in common, from the texts themselves.
+PAIR = "a long, b long"
+
 
-    rows: prints of the documents. The texts of the sets in question only are read again and sent."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("own")).distinct()
-    key = ["id", "k1", "k2"]
-    one = rows.join(ids, "own", "left_semi").groupBy("own").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(exchange.LARGEST)).alias("id"), "k1", "k2")).alias("r"))
+def bodies(rows: DataFrame, own: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(own, body): the whole set of each name in `own`, from one text of each."""
+    one = rows.join(own.select("own"), "own", "left_semi").groupBy("own").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(exchange.LARGEST)).alias("id"), "k1", "k2")).alias("r"))
     one = written(one.select("own", "r.*"), "asked")
-    text = exchange.keyed(docs).withColumn("id", F.coalesce("doc_id", F.lit(exchange.LARGEST))).join(one, key).select("own", "text")
+    text = exchange.keyed(docs).withColumn("id", F.coalesce("doc_id", F.lit(exchange.LARGEST))).join(one, ["id", "k1", "k2"]).select("own", "text")
 
     def sets(batches):
         for batch in rolling.chunks(batches, "text"):
-            own, _ = sets_of(batch.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array([x.tobytes() for x in own], pa.binary())], names=["own", "body"])
+            found = sets_of(batch.column("text"), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array([x.tobytes() for x in found], pa.binary())], names=["own", "body"])
+
+    return written(text.mapInArrow(sets, "own long, body binary").dropDuplicates(["own"]), "sets")
 
-    body = written(text.mapInArrow(sets, "own long, body binary").dropDuplicates(["own"]), "sets")
+
+def verified(pairs: DataFrame, body: DataFrame, share: float) -> DataFrame:
+    """(u, v): the pairs (a, b) of sets that have the share in common."""
 
     def check(batches):
         for batch in batches:
@@ -218,35 +247,42 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, s
                 keep.append(both >= share * (len(x) + len(y) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["u", "v"])
 
-    full = pairs.select("a", "b").join(body.select(F.col("own").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("own").alias("b"), F.col("body").alias("y")), "b")
+    full = pairs.join(body.select(F.col("own").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("own").alias("b"), F.col("body").alias("y")), "b")
     return full.mapInArrow(check, "u long, v long")
 
 
-def grouped(docs: DataFrame, shingle: int, budget: int, blocks: int, share: float) -> DataFrame:
+def chunked(postings: DataFrame, own: DataFrame) -> DataFrame:
+    """Postings (h, own, n, top) of shingles of several components, with their prefixes, once for each pair (p, q) of chunks that they are in."""
+    cuts = postings.groupBy("h").agg(F.min("top").alias("low"), F.max("top").alias("high"), F.ceil(F.count("*") / CHUNK).cast("int").alias("cuts")).where("low <> high")
+    cuts = written(cuts.select("h", "cuts"), "cuts")
+    mine = postings.join(cuts, "h").withColumn("cut", F.pmod(F.xxhash64("own"), "cuts").cast("int"))
+    mine = mine.join(own.select("own", "prefix"), "own").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    return mine.select("h", F.least("cut", "other").alias("p"), F.greatest("cut", "other").alias("q"), "own", "n", "top", "cut", "prefix")
+
+
+def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFrame:
     """doc_id, k1, k2 and component (the smallest name of its sets) of each document."""
     rows = written(prints(docs, shingle, share), "documents")
-    own = written(rows.groupBy("own").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "own")
-    shared = own.select("own", "n", "prefix").mapInArrow(_flat, "h long, own long, n int").repartition("h").mapInArrow(_shared, "h long, own long, n int")
-    shared = written(shared, "shared")
-    # proposals: sets of one fingerprint, fingerprints that the trie links, and the first sets of crowded shingles
+    some = rows.where(F.octet_length("prefix") > 0)
+    own = written(some.groupBy("own").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "own")
+    body = bodies(rows, own, docs, shingle)
+    shared = own.mapInArrow(_flat, "h long, own long")
+    several = shared.groupBy("h").count().where("count > 1").select("h")
+    shared = written(shared.join(several, "h").join(own.select("own", "n"), "own").select("h", "own", "n"), "shared")
+    # sets of one fingerprint, and fingerprints that the trie links
     first = written(own.groupBy("fp").agg(F.min("own").alias("first")), "first")
-    trie = simhash.links(own.select("fp"), budget, blocks=blocks)
+    trie = simhash.links(own.select("fp"), budget)
     far = trie.join(first.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v").select("a", "b")
     same = own.join(first, "fp").where("own <> first").select(F.col("own").alias("a"), F.col("first").alias("b"))
-    led = shared.repartition("h").mapInArrow(_led(share), PAIR).select("a", "b")
     ends = lambda x: x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    asked = written(ends(far.unionByName(same).unionByName(led)), "proposed")
-    sure = written(verified(asked, rows, docs, shingle, share), "sure")
+    sure = written(verified(written(ends(far.unionByName(same)), "proposed"), body, share), "sure")
     stars = simhash.components(sure)
-    # the rest: pairs of different components that meet often enough in their prefixes
-    top = shared.join(stars.withColumnRenamed("u", "own"), "own", "left").select("h", "own", "n", F.coalesce("v", "own").alias("top"))
-    met = top.repartition("h").mapInArrow(_met(share), PAIR).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c"))
-    # up to the end of the shorter prefix c shingles are shared; beyond it, all that is left of that set at most
-    left = lambda n: F.ceil(F.lit(share) * F.col(n) - 1e-9) - 1
-    least = F.lit(share / (1 + share)) * (F.col("na") + F.col("nb")) - 1e-6
-    rest = met.where(F.col("c") + F.greatest(left("na"), left("nb")) >= least).select("a", "b")
-    rest = written(rest.join(asked, ["a", "b"], "left_anti"), "rest")
-    more = written(verified(rest, rows, docs, shingle, share), "more")
-    stars = simhash.components(sure.unionByName(more))
-    named = own.select("own").join(stars.withColumnRenamed("u", "own"), "own", "left").select("own", F.coalesce("v", "own").alias("component"))
+    postings = lambda: shared.join(stars.withColumnRenamed("u", "own"), "own", "left").select("h", "own", "n", F.coalesce("v", "own").alias("top"))
+    for turn in range(ROUNDS):
+        asked = written(postings().repartition("h").sortWithinPartitions("h").mapInArrow(_led(share, turn), PAIR).distinct(), "led")
+        stars = simhash.components(stars.unionByName(written(verified(asked, body, share), "found")))
+    rest = chunked(postings(), own).repartition("h", "p", "q").sortWithinPartitions("h", "p", "q").mapInArrow(_met(share), PAIR)
+    more = written(verified(written(rest, "rest"), body, share), "more")
+    stars = simhash.components(stars.unionByName(more))
+    named = rows.select("own").distinct().join(stars.withColumnRenamed("u", "own"), "own", "left").select("own", F.coalesce("v", "own").alias("component"))
     return rows.select("doc_id", "k1", "k2", "own").join(written(named, "named"), "own")

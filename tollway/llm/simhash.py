@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
-from tollway.llm.common import partitions, written
+from tollway.llm.common import partitions, step, written
 
 SHINGLE = 3
 BITS = 2
 SEED = 42
-#: For documents that share 0.8 of their five-word shingles: fingerprints of them, bits that may differ, blocks of bits, and that share.
-NEAR = {"shingle": 5, "budget": 7, "blocks": 4, "share": 0.8}
+#: For documents that share 0.8 of their five-word shingles: fingerprints of them, bits that may differ for the trie to propose a pair, and that share.
+NEAR = {"shingle": 5, "budget": 2, "share": 0.8}
 #: Fingerprints of a node that one task takes; and pairs that are compared at once without walking on.
 CHUNK = 4096
 LEAF = 64
@@ -40,23 +41,51 @@ PRINTS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64(
 LARGEST = exchange.LARGEST
 
 
-def hashes_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of texts, and how many each text has."""
+class Shingles(NamedTuple):
+    """Shingles of texts; a text of fewer words is one."""
+
+    #: lower-cased words, each followed by one space; where each begins and ends
+    words: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    #: first and last word of each shingle
+    left: np.ndarray
+    right: np.ndarray
+    #: shingles of each text, and its first word (one more at the end)
+    many: np.ndarray
+    first: np.ndarray
+
+
+def shingles_of(column: pa.Array, shingle: int) -> Shingles:
     data, at = rolling.texts(column)
     data = rolling.TO_LOWER[data]
     start, end, first = rolling.words(data, at, ~rolling.IS_BLANK)
     size = end - start
-    # words, each followed by one space
     own = np.full(int(size.sum()) + len(size), 32, np.uint8)
     begin = np.cumsum(size + 1) - size - 1
     own[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())] = data[~rolling.IS_BLANK[data]]
-    text = own.tobytes()
     n = np.diff(first)
     many = np.maximum(n - shingle + 1, (n > 0).astype(n.dtype))
     left = np.repeat(first[:-1] - (np.cumsum(many) - many), many) + np.arange(many.sum())
     right = np.minimum(left + shingle, np.repeat(first[1:], many)) - 1
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(text[a:b], SEED) for a, b in zip(begin[left].tolist(), (begin + size)[right].tolist(), strict=True)), np.uint64, len(left)), many
+    return Shingles(own, begin, begin + size, left, right, many, first)
+
+
+def digests(x: Shingles) -> np.ndarray:
+    """XXH64 of each shingle."""
+    text, digest = x.words.tobytes(), xxhash.xxh64_intdigest
+    return np.fromiter((digest(text[a:b], SEED) for a, b in zip(x.begin[x.left].tolist(), x.end[x.right].tolist(), strict=True)), np.uint64, len(x.left))
+
+
+def rolled(x: Shingles) -> np.ndarray:
+    """A rolling hash of each shingle: quick, but not for texts made to collide."""
+    return rolling.stretch(rolling.prefix(rolling.word_hashes(x.words, x.begin, x.end)), x.left, x.right + 1)
+
+
+def hashes_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of texts, and how many each text has."""
+    found = shingles_of(column, shingle)
+    return digests(found), found.many
 
 
 def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
@@ -200,36 +229,50 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """One round: large stars, then small stars.
+
+    The smallest neighbours are written on their own, so that a node with very many neighbours is a skewed join that
+    Spark can split."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "low")
+    large = written(_ends(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))), "large")
+    low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+    small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+    return written(_ends(small), "edges")
+
+
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): v is the smallest node of u's component; nodes that are the smallest have no row.
 
-    Large stars and small stars in turn, until nothing changes. Each step is written; the smallest neighbours are
-    written on their own, so that a node with very many neighbours is a skewed join that Spark can split."""
-    ends = lambda e: e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    edges = written(ends(edges), "edges")
-    before = _mark(edges)
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "low")
-        large = written(ends(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))), "large")
-        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = written(ends(small), "edges")
-        after = _mark(edges)
-        if after == before:
-            return edges
-        before = after
+    Large stars and small stars in turn, until nothing changes. Each round is written and what came before it goes."""
+    spark = edges.sparkSession
+    with step(spark) as keep_all:
+        edges = written(_ends(edges), "edges")
+        before = _mark(edges)
+        while True:
+            with step(spark) as keep:
+                edges = keep(_contracted(edges))
+            after = _mark(edges)
+            if after == before:
+                return keep_all(edges)
+            before = after
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks: int = 1) -> DataFrame:
     """doc_id, k1, k2, fp, component_id and component (its smallest fingerprint) of each document."""
     prints = written(fingerprints(docs, shingle), "documents")
-    own = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "own")
-    stars = components(links(own, budget, blocks=blocks))
-    top = own.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select("fp", F.coalesce("v", "fp").alias("component"), "least")
-    top = written(top, "top")
-    names = written(top.groupBy("component").agg(F.min("least").alias("component_id")), "names")
-    named = written(top.select("fp", "component").join(names, "component"), "named")
+    with step(docs.sparkSession) as keep:
+        own = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "own")
+        stars = components(links(own, budget, blocks=blocks))
+        top = own.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select("fp", F.coalesce("v", "fp").alias("component"), "least")
+        top = written(top, "top")
+        names = written(top.groupBy("component").agg(F.min("least").alias("component_id")), "names")
+        named = keep(written(top.select("fp", "component").join(names, "component"), "named"))
     return prints.join(named, "fp")
 
 
@@ -242,16 +285,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, blocks
     """One document of each component, that of the smallest doc_id (null ids last), with its own columns.
 
     With a share, the links are the pairs whose shingle sets have that share in common (see ``overlaps``)."""
-    if share is None:
-        own = grouped(docs, shingle, budget, blocks)
-    else:
-        from tollway.llm import overlaps
-
-        own = overlaps.grouped(docs, shingle, budget, blocks, share)
-    rows = own.select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
-    best = rows.groupBy("component").agg(F.min(F.struct("id", "k1", "k2")).alias("best")).select("best.*")
-    best = written(best, "best")
-    same = rows.groupBy("id", "k1", "k2").count().where("count > 1").limit(1).count() > 0
+    from tollway.llm import overlaps
+
+    with step(docs.sparkSession) as keep:
+        own = grouped(docs, shingle, budget, blocks) if share is None else overlaps.grouped(docs, shingle, budget, share)
+        rows = own.select(F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), "k1", "k2", "component")
+        best = rows.groupBy("component").agg(F.min(F.struct("id", "k1", "k2")).alias("best")).select("best.*")
+        best = keep(written(best, "best"))
+        same = rows.groupBy("id", "k1", "k2").count().where("count > 1").limit(1).count() > 0
     k1, k2 = exchange.row_key(F.col("text"))
     row = docs.select(F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(LARGEST)).alias("id"), k1.alias("k1"), k2.alias("k2"))
     kept = row.join(best, ["id", "k1", "k2"], "left_semi")

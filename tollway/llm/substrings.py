@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling, verified
-from tollway.llm.common import written
+from tollway.llm.common import step, written
 
 WINDOW = 50
 #: Bytes of a word and its blank, for the number of windows to expect.
@@ -67,10 +67,8 @@ def _cut(window: int, texts: bool):
             data, at = rolling.texts(batch.column("text"))
             start, end, first = rolling.words(data, at, ~rolling.IS_BLANK)
             out = []
-            hits = batch.column("hits").to_pylist()
-            for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+            for i, (doc_id, (s, e)) in enumerate(zip(batch.column("doc_id").to_pylist(), verified.covered(batch.column("hits"), window), strict=True)):
                 a, b = first[i], first[i + 1]
-                s, e = rolling.runs(verified.positions(hits[i]), window)
                 raw = data[at[i] : at[i + 1]].tobytes()
                 kept, last = [], 0
                 for x, y in [*zip(s, e, strict=True), (b - a, b - a)]:
@@ -88,8 +86,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, texts: bool = True, per_bucket:
     """One row per document: doc_id, n_words, n_removed, n_spans, kept_sha256, kept (the words left; null without `texts`)."""
     rows = exchange.keyed(docs)
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    again = exchange.repeats(rows, hasher(window), "substrings", n_bytes // WORD_BYTES, per_bucket)
-    windows = again.agg(F.sum("n")).first()[0] or 0
-    likely = exchange.joined(rows, exchange.gathered(again), "inner")
-    found = written(verified.repeats(likely, windows, cutter, classes(window), window, max(1, window // 3), ordered=True), "verified")
+    with step(docs.sparkSession) as keep:
+        again = exchange.repeats(rows, hasher(window), "substrings", n_bytes // WORD_BYTES, per_bucket)
+        windows = again.agg(F.sum("n")).first()[0] or 0
+        likely = exchange.joined(rows, exchange.gathered(again), "inner")
+        found = keep(written(verified.repeats(likely, windows, cutter, classes(window), window, max(1, window // 3), ordered=True), "verified"))
     return exchange.joined(rows, found, "left").select("doc_id", "text", "hits").mapInArrow(_cut(window, texts), "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, kept string")

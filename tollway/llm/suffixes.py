@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, ranks, rolling, verified
-from tollway.llm.common import written
+from tollway.llm.common import step, written
 
 LENGTH = 200
 # A perfect difference set. Every residue modulo 133 but 0 is exactly one difference of two of them.
@@ -100,14 +100,10 @@ def _cut(length: int, texts: bool):
     def cut(batches):
         for batch in rolling.chunks(batches, "text"):
             data, at = rolling.texts(batch.column("text"))
-            hits, rows = batch.column("hits").to_pylist(), []
-            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), strict=True)):
+            rows = []
+            for i, (key, (a, b)) in enumerate(zip(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), strict=True), verified.covered(batch.column("hits"), length), strict=True)):
                 raw = data[at[i] : at[i + 1]]
-                a, b = rolling.runs(verified.positions(hits[i]), length)
-                edge = np.zeros(len(raw) + 1, np.int32)
-                edge[a] += 1
-                edge[b] -= 1
-                kept = raw[np.cumsum(edge[:-1]) == 0].tobytes()
+                kept = b"".join(raw[x:y].tobytes() for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)], strict=True))
                 rows.append((*key, int((b - a).sum()), len(a), hashlib.sha256(kept).hexdigest(), kept if texts else None))
             yield exchange._rows(OUT, rows)
 
@@ -124,12 +120,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, cover: tu
         raise ValueError("cover must be a difference cover of a period that the length holds")
     rows = exchange.keyed(docs)
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    sampled = exchange.repeats(rows, cover_hasher(length, period, cover), "cover", n_bytes * len(cover) // period, per_bucket)
-    # equal rows stay apart: each is a twin of the other
-    doubt = written(exchange.joined(rows, exchange.gathered(sampled), "inner"), "doubt")
-    twins = exchange.repeats(doubt, suffix_hasher(length, period), "suffixes", total(sampled) * period // len(cover), per_bucket)
-    likely = exchange.joined(doubt.drop("hits"), exchange.gathered(twins), "inner")
-    found = written(verified.repeats(likely, total(twins), cutter, classes(length), length, length // 2), "twins")
+    with step(docs.sparkSession) as keep:
+        sampled = exchange.repeats(rows, cover_hasher(length, period, cover), "cover", n_bytes * len(cover) // period, per_bucket)
+        # equal rows stay apart: each is a twin of the other
+        doubt = keep(written(exchange.joined(rows, exchange.gathered(sampled), "inner"), "doubt"))
+        twins = exchange.repeats(doubt, suffix_hasher(length, period), "suffixes", total(sampled) * period // len(cover), per_bucket)
+        likely = exchange.joined(doubt.drop("hits"), exchange.gathered(twins), "inner")
+        found = keep(written(verified.repeats(likely, total(twins), cutter, classes(length), length, length // 2), "twins"))
     cut = exchange.joined(doubt.drop("hits"), found, "inner").mapInArrow(_cut(length, texts), "doc_id long, k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.dropDuplicates(["doc_id", "k1", "k2"]) if not texts else cut.groupBy("doc_id", "k1", "k2").agg(*(F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256", "kept")))
     text = F.coalesce(F.col("text"), F.lit(""))

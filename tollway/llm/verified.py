@@ -11,10 +11,11 @@ common to many different repeated passages for a bucket to be large."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +25,8 @@ from tollway.llm.common import partitions
 LARGEST = exchange.LARGEST
 #: Windows that a bucket takes, on average.
 PER_BUCKET = 1 << 20
-SENT = pa.schema([("bucket", pa.int64()), ("body", pa.binary()), ("places", pa.binary())])
-HITS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
-PLACE = (np.int64, np.uint8, np.int64, np.int64, np.int64, np.int64)
+SENT = pa.schema([("bucket", pa.int64()), ("body", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "known", "k1", "k2", "pos")), ("more", pa.binary())])
+PLACE = ["doc_id", "known", "k1", "k2", "pos"]
 #: (data, text offsets) -> (hash prefix sums over units, first unit of each text, bytes of units, where each unit begins in them, and ends)
 Cutter = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 #: (distinct stretches) -> (class of each window, first window of each stretch, one more at the end)
@@ -54,7 +54,7 @@ def _send(cutter: Cutter, size: int, part: int, buckets: int):
     def send(batches):
         for batch in rolling.chunks(batches, "text", exchange.BLOCK):
             ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
-            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
             k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
             s, first, units, begin, end = cutter(*rolling.texts(batch.column("text")))
             marks = np.concatenate([exchange.positions(hits) + first[i] for i, hits in enumerate(batch.column("hits").to_pylist())])
@@ -62,83 +62,96 @@ def _send(cutter: Cutter, size: int, part: int, buckets: int):
                 continue
             start, n, low = stretches(marks, s, size, part)
             doc = np.searchsorted(first, start, "right") - 1
-            body = [units[a:b].tobytes() for a, b in zip(begin[start].tolist(), end[start + n + size - 2].tolist(), strict=True)]
-            seen: dict[bytes, list[int]] = {}
-            for i, x in enumerate(body):
-                seen.setdefault(x, []).append(i)
-            places = []
-            for own in seen.values():
-                own = np.array(own)
-                d, p = doc[own], start[own] - first[doc[own]]
-                key = np.stack([ids[d], known[d], k1[d], k2[d], p], 1).astype(np.int64)
-                key, times = np.unique(key, axis=0, return_counts=True) if len(own) > 1 else (key, np.ones(1, np.int64))
-                places.append(exchange.pack(key[:, 0].copy(), key[:, 1].astype(np.uint8), key[:, 2].copy(), key[:, 3].copy(), key[:, 4].copy(), times.astype(np.int64)))
-            lead = np.array([own[0] for own in seen.values()])
-            yield pa.RecordBatch.from_arrays([pa.array((low[lead] % np.uint64(buckets)).astype(np.int64)), pa.array(list(seen), pa.binary()), pa.array(places, pa.binary())], schema=SENT)
+            raw = units.tobytes()
+            index: dict[bytes, int] = {}
+            of = np.array([index.setdefault(raw[a:b], len(index)) for a, b in zip(begin[start].tolist(), end[start + n + size - 2].tolist(), strict=True)])
+            order = np.argsort(of, kind="stable")
+            place = np.stack([ids[doc], known[doc], k1[doc], k2[doc], start - first[doc]], 1)[order]
+            lead = np.searchsorted(of[order], np.arange(len(index)))
+            upto = np.r_[lead[1:], len(of)]
+            more: list[bytes | None] = [None] * len(index)
+            for i in np.flatnonzero(upto - lead > 1).tolist():
+                more[i] = place[lead[i] + 1 : upto[i]].tobytes()
+            bucket = (low[order[lead]] % np.uint64(buckets)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(list(index), pa.binary()), *(pa.array(place[lead, c]) for c in range(5)), pa.array(more, pa.binary())], schema=SENT)
 
     return send
 
 
-def judged(bodies: list[bytes], places: list[bytes], classes: Classes, ordered: bool):
-    """(doc_id, k1, k2, pos, n, bits) of each place with repeated windows, of the stretches of one bucket."""
+def runs_in(hit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of hits in consecutive segments of n: segment, start in it, length."""
+    first = np.cumsum(n) - n
+    edge = np.zeros(len(hit) + 1, bool)
+    edge[first] = True
+    before = np.r_[False, hit[:-1]] & ~edge[:-1]
+    after = np.r_[hit[1:], False] & ~np.r_[edge[1:-1], True]
+    start, end = np.flatnonzero(hit & ~before), np.flatnonzero(hit & ~after) + 1
+    segment = np.searchsorted(first, start, "right") - 1
+    return segment, start - first[segment], end - start
+
+
+def judged(bodies: list[bytes], place: np.ndarray, more: list[bytes | None], classes: Classes, ordered: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the stretches of one bucket: their places, those that have repeated windows, once for each run; the run's first window and length."""
     index: dict[bytes, int] = {}
     of = np.array([index.setdefault(x, len(index)) for x in bodies])
-    places = [exchange.unpack(x, *PLACE) for x in places]
+    rest = [(i, np.frombuffer(x, np.int64).reshape(-1, 5)) for i, x in enumerate(more) if x is not None]
+    place = np.concatenate([place, *(x for _, x in rest)])
+    of = np.concatenate([of, *(np.full(len(x), of[i]) for i, x in rest)])
     name, first = classes(list(index))
-    times, low = np.zeros(len(index), np.int64), np.full(len(index), LARGEST)
-    np.add.at(times, of, [int(x[5].sum()) for x in places])
-    np.minimum.at(low, of, [int(x[0].min()) for x in places])
     n = np.diff(first)
-    total = np.zeros(int(name.max()) + 1, np.int64)
-    np.add.at(total, name, np.repeat(times, n))
-    lowest = np.full(len(total), LARGEST)
-    np.minimum.at(lowest, name, np.repeat(low, n))
-    for i, x in zip(of.tolist(), places, strict=True):
-        own = name[first[i] : first[i + 1]]
-        for doc_id, known, k1, k2, pos, _ in zip(*(c.tolist() for c in x), strict=True):
-            hit = lowest[own] < doc_id if ordered else total[own] > 1
-            if hit.any():
-                yield doc_id if known else None, k1, k2, pos, len(own), np.packbits(hit).tobytes()
+    if ordered:
+        low = np.full(len(index), LARGEST)
+        np.minimum.at(low, of, place[:, 0])
+        lowest = np.full(int(name.max()) + 1, LARGEST)
+        np.minimum.at(lowest, name, np.repeat(low, n))
+        own, many = n[of], np.cumsum(n[of])
+        window = np.repeat(first[of] - (many - own), own) + np.arange(many[-1])
+        which, start, length = runs_in(lowest[name[window]] < np.repeat(place[:, 0], own), own)
+    else:
+        total = np.bincount(name, np.repeat(np.bincount(of, minlength=len(index)), n))
+        body, start, length = runs_in(total[name] > 1, n)
+        # each run goes to every place of its stretch
+        order = np.argsort(of, kind="stable")
+        low, high = np.searchsorted(of[order], body), np.searchsorted(of[order], body, "right")
+        many = high - low
+        which = order[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        start, length = np.repeat(start, many), np.repeat(length, many)
+    return place[which], start, length
 
 
 def _judge(classes: Classes, ordered: bool):
     def judge(batches):
-        now, bodies, places = None, [], []
-
-        def settle():
-            rows = list(judged(bodies, places, classes, ordered)) if bodies else []
-            for k in range(0, len(rows), 10_000):
-                yield exchange._rows(HITS, rows[k : k + 10_000])
-            bodies.clear()
-            places.clear()
-
-        for batch in batches:
-            for bucket, body, place in zip(*(batch.column(c).to_pylist() for c in SENT.names), strict=True):
-                if bucket != now:
-                    yield from settle()
-                    now = bucket
-                bodies.append(body)
-                places.append(place)
-        yield from settle()
+        for run in exchange.sorted_runs(batches, ["bucket"]):
+            place = np.stack([run.column(c).to_numpy() for c in PLACE], 1)
+            place, start, length = judged(run.column("body").to_pylist(), place, run.column("more").to_pylist(), classes, ordered)
+            ids = pa.array(place[:, 0], pa.int64(), mask=place[:, 1] == 0)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(place[:, 2]), pa.array(place[:, 3]), pa.array(place[:, 4] + start), pa.array(length)], names=["doc_id", "k1", "k2", "pos", "n"])
 
     return judge
 
 
 def repeats(docs: DataFrame, windows: int, cutter: Cutter, classes: Classes, size: int, part: int, ordered: bool = False) -> DataFrame:
-    """(doc_id, k1, k2, hits): the windows of `size` units of each document that are repeated, as runs of bits.
+    """(doc_id, k1, k2, hits): the windows of `size` units of each document that are repeated, as runs (pos, n) of their starts.
 
     docs: doc_id, k1, k2, text and hits, the candidates of ``exchange.repeats``; windows: how many they are in all.
     ordered: only places in documents with a smaller doc_id count (a null id is the largest)."""
     n = partitions(docs.sparkSession)
     buckets = max(8 * n, windows // PER_BUCKET)
-    sent = docs.mapInArrow(_send(cutter, size, part, buckets), "bucket long, body binary, places binary")
+    sent = docs.mapInArrow(_send(cutter, size, part, buckets), "bucket long, body binary, doc_id long, known long, k1 long, k2 long, pos long, more binary")
     met = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
-    hits = met.mapInArrow(_judge(classes, ordered), "doc_id long, k1 long, k2 long, pos long, n long, bits binary")
-    return hits.groupBy("doc_id", "k1", "k2").agg(F.collect_set(F.struct("pos", "n", "bits")).alias("hits"))
-
-
-def positions(hits: list | None) -> np.ndarray:
-    """Sorted window starts of a document."""
-    if not hits:
-        return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([x["pos"] + np.flatnonzero(np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["n"])) for x in hits]))
+    hits = met.mapInArrow(_judge(classes, ordered), "doc_id long, k1 long, k2 long, pos long, n long")
+    return hits.groupBy("doc_id", "k1", "k2").agg(F.collect_set(F.struct("pos", "n")).alias("hits"))
+
+
+def covered(hits: pa.ListArray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each document: the maximal runs [start, end) of units that its repeated windows cover."""
+    flat = hits.flatten()
+    pos, n = (flat.field(c).to_numpy() for c in ("pos", "n"))
+    many = pc.fill_null(pc.list_value_length(hits), 0).to_numpy()
+    for end, k in zip(np.cumsum(many).tolist(), many.tolist(), strict=True):
+        a, b = pos[end - k : end], n[end - k : end]
+        order = np.argsort(a)
+        a = a[order]
+        b = np.maximum.accumulate(a + b[order] - 1 + size) if k else a
+        gap = np.flatnonzero(a[1:] > b[:-1])
+        yield (a[np.r_[0, gap + 1]], b[np.r_[gap, k - 1]]) if k else (a, b)
