@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollway import __main__ as cli
-from tollway.config import Rules, Segmentation, align, dump, load, overlay
+from tollway.config import Rules, Segmentation, Topology, align, dump, load, overlay, sections
+from tollway.plans import stages
 from tollway.sources import arrays, shapefile, sinks, tables
 
 TEXT = "KKBH,FZJG\n007,粤E\n8,粤X\n"
@@ -98,6 +99,53 @@ def test_config(tmp_path):
     assert align(Segmentation(), {"colour": 1, "cap_scale": 2.0}).cap_scale == 2.0
 
 
+def test_flat_config():
+    """Keys of flat files; unknown ones raise, those about processes are passed over."""
+    flat = {
+        "bayonet_shp_path": "/a/points.shp", "raw_bayonet_csv_path": "/a/raw.csv", "preprocessed_data_path": "/b/passes.csv", "raw_csv_encoding": None, "output_csv_encoding": "gbk", "parallel_workers": 60,
+        "random_seed": 7, "travel_time_bins": [0, 60], "travel_time_labels": ["1m"], "kkod_std_threshold": 90.0, "iforest_n_estimators": 4, "high_hours": [7], "flat_hours": [8], "low_hours": [0, 1, 2, 3, 4, 5, 6, *range(9, 24)],
+        "match_threshold_m": 50.0, "sampling_dist_force_rebuild": True,
+    }
+    out = sections(flat)
+    assert out["paths"] == {"checkpoints": "/a/points.shp", "raw": "/a/raw.csv", "passes": "/b/passes.csv", "output": "/b"} and out["output_encoding"] == "gbk" and out["rebuild"] is True
+    assert overlay(Rules(), out["rules"]).travel_time_bins == (0, 60) and overlay(Segmentation(), out["segmentation"]).n_estimators == 4 and overlay(Topology(), out["topology"]).match_distance_m == 50.0
+    assert sections({"paths": {}}) == {"paths": {}}
+    with pytest.raises(ValueError, match="colour"):
+        sections({**flat, "colour": 1})
+    with pytest.raises(ValueError, match="low_hours"):
+        sections({**flat, "low_hours": [1]})
+
+
+@pytest.mark.parametrize("encoding", ["gbk", "gb18030", "utf-8", "utf-8-sig", None])
+def test_csv_output_encodings(spark, tmp_path, encoding):
+    sinks.write_csv(spark.createDataFrame([("粤E", 1)], "a string, b int"), str(tmp_path / "o"), encoding)
+    data = next((tmp_path / "o").glob("*.csv")).read_bytes()
+    assert data.decode(encoding or "utf-8-sig").split() == ["a,b", "粤E,1"] and data.startswith(b"\xef\xbb\xbf") == (encoding in ("utf-8-sig", None))
+
+
+def test_empty_pool_is_an_error(spark):
+    from tollway.plans import stages, views
+
+    sf = "/root/testdata/sf0.001"
+    points = views.view(spark, sf, "select distinct event_type as KKBH, 113.0D as Longitude, 23.0D as Latitude from events")
+    s = stages.Sources(views.raw(spark, sf), points, views.route(spark, sf), views.vehicles(spark, sf).where("1 = 0"))
+    with pytest.raises(ValueError, match="no vehicle"):
+        stages.supplement(s, Rules())
+
+
+def test_fixed_threshold_is_the_quantile(spark):
+    """Against NumPy: whole and broken seconds, one value, none."""
+    import numpy as np
+
+    from tollway.operators.thresholds import fixed_threshold
+
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 5000, 700).astype(float), rng.random(301) * 200, np.array([42.0]), np.repeat(7.0, 50), np.zeros(0)):
+        for q in (0.7, 0.0, 1.0, 0.333):
+            got = fixed_threshold(spark.createDataFrame([(float(v),) for v in values], "time double"), Segmentation(fixed_quantile=q)).first()["B"]
+            assert got == pytest.approx(np.quantile(values, q), rel=1e-12) if len(values) else got is None
+
+
 def shp(kind, bodies):
     out = bytearray(100)
     for i, body in enumerate(bodies):
@@ -122,11 +170,13 @@ def line(*parts):
 def test_shapefiles(spark, tmp_path):
     (tmp_path / "r.shp").write_bytes(shp(3, [line([(0.0, 1.0), (2.0, 3.0)]), line([(0.0, 0.0), (1.0, 1.0)], [(5.0, 5.0), (6.0, 6.0)])]))
     (tmp_path / "r.dbf").write_bytes(dbf([("osm_id", 5), ("oneway", 1), ("fclass", 10), ("maxspeed", 4)], [("11", "F", "primary", "60"), ("12", "", "track", "")]))
-    rows = shapefile.roads(spark, str(tmp_path)).orderBy("seq").collect()
+    (tmp_path / "other.shp").write_bytes(shp(3, [line([(9.0, 9.0), (8.0, 8.0)])]))
+    rows = stages.read_source(spark, "roads", str(tmp_path / "r.shp")).orderBy("seq").collect()
     assert [(r.osm_id, r.oneway, [(p.lon, p.lat) for p in r.line]) for r in rows] == [("11", "F", [(0, 1), (2, 3)]), ("12", "", [(5, 5), (6, 6)])]
     (tmp_path / "p").mkdir()
     (tmp_path / "p/k.shp").write_bytes(shp(1, [struct.pack("<2d", 113.0, 23.0)]))
     (tmp_path / "p/k.dbf").write_bytes(dbf([("KKBH", 4)], [("007",)]))
+    assert stages.read_source(spark, "checkpoints", str(tmp_path / "p/k.shp")).collect() == shapefile.checkpoints(spark, str(tmp_path / "p")).collect()
     r = shapefile.checkpoints(spark, str(tmp_path / "p")).first()
     assert (r.KKBH, r.Longitude, r.Latitude) == ("007", 113.0, 23.0)
 
@@ -151,6 +201,17 @@ def test_all_stages(spark, tmp_path):
     read = lambda n: spark.read.parquet(str(out / f"{n}.parquet"))
     assert read("passes").count() > 100 and read("trips").count() > 10 and read("excluded_supplement").where("CLLX is null").count() == 0
     assert json.loads((out / "partition.json").read_text())["fixed_b"] > 0
+    about = json.loads((out / "partition.json").read_text())
+    assert about["trips"] == read("trips").count() and about["gaps"] == spark.read.csv(str(out / "adjacent_gaps.csv"), header=True).count() > 0
+    assert arrays.read_thresholds_npy(spark, str(out / "thresholds.npy")).count() == about["threshold_rows"]
+    nodes, edges = tables.read_gml(spark, str(out / "graph.gml"))
+    assert sorted(nodes.select("name").collect()) == sorted(read("nodes").select("name").collect()) == sorted(arrays.read_positions_npy(spark, str(out / "positions.npz")).select("name").collect())
+    assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, read("edges").select("start_node", "end_node", "road_length", "kind", "duration").collect()))
+    # the route as a match array, under a prefix
+    arrays.write_match_npy(spark.read.parquet(paths["route"]).select(F.col("KKBH").alias("node"), "KKBH", F.lit(0.0).alias("dist_m"), F.monotonically_increasing_id().alias("seq")), str(tmp_path / "route.npy"))
+    config.write_text(json.dumps({"output_dir": str(out), "output_prefix": "x_", "bayonet_match_path": str(tmp_path / "route.npy"), "iforest_n_estimators": 3, "workers": 60, "output_csv_encoding": "gbk"}))
+    cli.main(["partition", "--config", str(config)])
+    assert json.loads((out / "x_partition.json").read_text())["fixed_b"] == about["fixed_b"] and read("x_trips").count() > 0
     summary = {r.metric: r.value for r in spark.read.csv(str(out / "diagnostics_summary.csv"), header=True).toDF("metric", "value").collect()}
     assert float(summary["included_records"]) + float(summary["excluded_records"]) == float(summary["center_records_before_split"])
     assert (out / "match.csv").is_dir() and (out / "dist_compare_supplement_vs_raw.csv").is_dir()

@@ -1,16 +1,20 @@
 """Command line: python -m tollway STAGE --config FILE, or --dump-config FILE.
 
-The configuration is a JSON object with `paths` (raw, checkpoints, route, vehicles, roads, output) and any parameters
-of the stage under `rules`, `segmentation` or `topology`."""
+The configuration is a JSON object with `paths` (raw, checkpoints, route, vehicles, roads, output), any parameters of
+the stage under `rules`, `segmentation` or `topology`, and `encoding`, `output_encoding`, `id_field` and `rebuild`; or a
+flat object of the keys in ``config.FLAT``. Checkpoints and roads may be shapefiles, the route a match array (.npy).
+Results go to `output`, but those that `paths` has a place for under their own name."""
 
 from __future__ import annotations
 
 import argparse
 import json
 from dataclasses import asdict
+import time
 from pathlib import Path
 
-from tollway.config import Rules, Segmentation, Topology, overlay, read_json
+from tollway.config import Rules, Segmentation, Topology, overlay, read_json, sections
+from tollway.operators import clean, impute
 from tollway.plans import stages
 from tollway.session import local_session
 from tollway.sources import arrays, sinks, tables
@@ -32,59 +36,71 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.stage or not args.config:
         parser.error("a stage and --config are needed")
-    config = read_json(args.config)
+    config = sections(read_json(args.config))
+    if not config.get("paths", {}).get("output"):
+        parser.error("the configuration names no output folder")
     r, g, t = (overlay(kind(), config.get(name, {})) for kind, name in ((Rules, "rules"), (Segmentation, "segmentation"), (Topology, "topology")))
-    run(local_session("*"), args.stage, config["paths"], config.get("encoding"), r, g, t, args.topk, not args.skip_raw_distribution)
+    run(local_session("*"), args.stage, config["paths"], config.get("encoding"), r, g, t, args.topk, not args.skip_raw_distribution, config.get("output_encoding"), config.get("id_field", "KKBH"), bool(config.get("rebuild")))
     return 0
 
 
-def run(spark, stage: str, paths: dict[str, str], encoding: str | None, r: Rules, g: Segmentation, t: Topology, k: int = 20, with_raw: bool = True) -> None:
-    out = paths["output"].rstrip("/")
+def run(spark, stage: str, paths: dict[str, str], encoding: str | None, r: Rules, g: Segmentation, t: Topology, k: int = 20, with_raw: bool = True, output_encoding: str | None = None, id_field: str = "KKBH", rebuild: bool = False) -> None:
+    out, started = paths["output"].rstrip("/"), time.time()
+    prefix = paths.get("prefix", "")
+    table = lambda name: sinks.parquet_path(paths.get(name, f"{out}/{name}.parquet"))
+    report = lambda df, name, one=True: sinks.write_csv(df, f"{out}/{name}.csv", output_encoding, one)
+    source = lambda name: stages.read_source(spark, name, paths[name], encoding, id_field)
     if stage == "preprocess":
-        passes, vehicles = stages.preprocess(stages.read_sources(spark, paths, encoding), r)
-        sinks.write_parquet(passes, f"{out}/passes.parquet")
-        sinks.write_parquet(vehicles, f"{out}/vehicles.parquet")
+        passes, vehicles = stages.preprocess(stages.read_sources(spark, paths, encoding, id_field), r)
+        sinks.write_parquet(passes, table("passes"))
+        sinks.write_parquet(vehicles, table("vehicle_info"))
     elif stage == "statistics":
-        hours, histogram = stages.statistics(tables.read_parquet(spark, f"{out}/passes.parquet", "passes"), r)
-        sinks.write_csv(hours.orderBy("hour"), f"{out}/hourly.csv")
-        sinks.write_csv(histogram, f"{out}/gaps.csv")
-        if "://" not in out:
-            arrays.write_xlsx(hours.orderBy("hour"), f"{out}/hourly.xlsx")
-            arrays.write_xlsx(histogram, f"{out}/gaps.xlsx")
+        hours, histogram = stages.statistics(tables.read_parquet(spark, table("passes"), "passes"), r)
+        for df, name in ((hours.orderBy("hour"), "hourly"), (histogram, "gaps")):
+            report(df, name)
+            sheet = paths.get(name, f"{out}/{name}.xlsx")
+            if "://" not in sheet:
+                arrays.write_xlsx(df, sheet if sheet.endswith(".xlsx") else f"{sheet}.xlsx")
     elif stage == "supplement":
-        s = stages.read_sources(spark, paths, encoding)
+        s = stages.read_sources(spark, paths, encoding, id_field)
         key = sinks.signature(spark, paths["raw"], encoding=encoding)
-        from tollway.operators import clean, impute
-
-        dist = sinks.cached(spark, f"{out}/sampling_distribution.parquet", key, lambda: impute.sampling_distribution(clean.with_sequence(s.raw), r.timestamp_formats))
+        dist = sinks.cached(spark, f"{out}/sampling_distribution.parquet", key, lambda: impute.sampling_distribution(clean.with_sequence(s.raw), r.timestamp_formats), rebuild)
         rebuilt, attributes = stages.supplement(s, r, dist)
-        sinks.write_parquet(rebuilt, f"{out}/excluded_supplement.parquet")
-        sinks.write_parquet(attributes, f"{out}/device_attributes.parquet")
+        sinks.write_parquet(rebuilt, table("excluded_supplement"))
+        sinks.write_parquet(attributes, table("device_attributes"))
     elif stage == "partition":
-        records = tables.read_parquet(spark, f"{out}/excluded_supplement.parquet", "excluded records")
-        found, rows, about = stages.partition(records, tables.read_table(spark, paths["route"], encoding), g)
-        sinks.write_trips(found, f"{out}/trips.parquet")
-        sinks.write_csv(rows, f"{out}/thresholds.csv")
-        sinks.write_json(about | {"parameters": asdict(g)}, f"{out}/partition.json")
+        records = stages.read_source(spark, "excluded_supplement", paths.get("excluded_supplement", f"{out}/excluded_supplement.parquet"), encoding)
+        found, rows, gaps, about = stages.partition(records, source("route"), g)
+        sinks.write_trips(found, f"{out}/{prefix}trips.parquet")
+        report(rows, f"{prefix}thresholds")
+        report(gaps, f"{prefix}adjacent_gaps", one=False)
+        if "://" not in out:
+            arrays.write_thresholds_npy(rows, f"{out}/{prefix}thresholds.npy")
+        trips = spark.read.parquet(f"{out}/{prefix}trips.parquet").count()
+        sinks.write_json(about | {"trips": trips, "seconds": round(time.time() - started, 1), "written": time.strftime("%Y-%m-%d %H:%M:%S"), "parameters": asdict(g)}, f"{out}/{prefix}partition.json")
     elif stage == "topology":
-        nodes, edges = stages.road_graph(tables.lines_from_wkt(tables.read_table(spark, paths["roads"], encoding)), t)
+        roads = source("roads")
+        nodes, edges = stages.road_graph(roads if "line" in roads.columns else tables.lines_from_wkt(roads), t)
         sinks.write_parquet(nodes, f"{out}/nodes.parquet")
         sinks.write_parquet(edges, f"{out}/edges.parquet")
-        sinks.write_csv(edges, f"{out}/edges.csv")
+        report(edges, "edges")
+        sinks.write_gml(nodes, edges, f"{out}/graph.gml")
+        if "://" not in out:
+            arrays.write_positions_npy(nodes, f"{out}/positions.npz")
     elif stage == "match":
-        points = tables.read_table(spark, paths["checkpoints"], encoding)
+        points = source("checkpoints")
         points = points if "Longitude" in points.columns else tables.points_from_wkt(points)
         points = points.withColumns({c: points[c].cast("double") for c in ("Longitude", "Latitude")})
         found = stages.match_checkpoints(points, tables.read_parquet(spark, f"{out}/nodes.parquet", "nodes"), t)
         found = sinks.checkpointed(found)
-        sinks.write_csv(found.orderBy("seq").drop("seq"), f"{out}/match.csv")
+        report(found.orderBy("seq").drop("seq"), "match")
         if "://" not in out:
             arrays.write_match_npy(found, f"{out}/match.npy")
     else:
-        s = stages.read_sources(spark, paths, encoding)
-        read = lambda name: tables.read_parquet(spark, f"{out}/{name}.parquet", name)
-        for name, report in stages.diagnose(s, read("excluded_supplement"), read("device_attributes"), r, k, with_raw).items():
-            sinks.write_csv(report, f"{out}/{name}.csv")
+        s = stages.read_sources(spark, paths, encoding, id_field)
+        read = lambda name: tables.read_parquet(spark, table(name), name)
+        for name, df in stages.diagnose(s, read("excluded_supplement"), read("device_attributes"), r, k, with_raw).items():
+            report(df, name)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ FUEL_CODES = {label: code for code, label in FUEL_LABELS.items()}
 
 @dataclass(frozen=True)
 class Rules:
-    """Which records count as included, and how gaps are binned."""
+    """Which records count as included, and how gaps are binned. The defaults are fixed values."""
 
     valid_vehicle_types: tuple[str, ...] = ("K1", "K2", "K3", "K4", "H1", "H2", "H3", "H4")
     car_vehicle_types: tuple[str, ...] = ("K1", "K2", "K3", "K4")
@@ -36,7 +36,7 @@ class Rules:
 
 @dataclass(frozen=True)
 class Segmentation:
-    """Adaptive thresholds and trips."""
+    """Adaptive thresholds and trips. The defaults are fixed values."""
 
     fixed_quantile: float = 0.70
     cap_scale: float = 1.5
@@ -51,7 +51,7 @@ class Segmentation:
 
 @dataclass(frozen=True)
 class Topology:
-    """Road graph and one-to-one matching."""
+    """Road graph and one-to-one matching. The defaults are fixed values."""
 
     match_distance_m: float = 60.0
     degrees_per_metre_lat: float = 8.993216e-06
@@ -63,6 +63,30 @@ class Topology:
     min_speed_kmh: float = 1e-6
 
 
+# Keys of flat configuration files, and the section and name that each stands for. Keys that are a field's
+# own name need no entry.
+FLAT = {
+    "bayonet_shp_path": ("paths", "checkpoints"), "raw_bayonet_csv_path": ("paths", "raw"), "route_matched_bayonet_csv_path": ("paths", "route"),
+    "vehicle_table_2021_path": ("paths", "vehicles"), "preprocessed_data_path": ("paths", "passes"), "vehicle_info_path": ("paths", "vehicle_info"),
+    "hourly_stat_path": ("paths", "hourly"), "travel_time_stat_path": ("paths", "gaps"), "excluded_supplement_data_path": ("paths", "excluded_supplement"),
+    "excluded_device_attr_path": ("paths", "device_attributes"), "excluded_input_path": ("paths", "excluded_supplement"), "bayonet_match_path": ("paths", "route"),
+    "road_shp_path": ("paths", "roads"), "output_dir": ("paths", "output"), "output_prefix": ("paths", "prefix"),
+    "raw_csv_encoding": ("", "encoding"), "input_csv_encoding": ("", "encoding"), "output_csv_encoding": ("", "output_encoding"),
+    "sampling_dist_force_rebuild": ("", "rebuild"), "bayonet_id_field": ("", "id_field"),
+    "fixed_time_quantile": ("segmentation", "fixed_quantile"), "fixed_time_upper_scale": ("segmentation", "cap_scale"), "kkod_std_threshold": ("segmentation", "std_threshold"),
+    "kkod_min_samples": ("segmentation", "sample_threshold"), "iforest_n_estimators": ("segmentation", "n_estimators"), "iforest_random_state": ("segmentation", "random_state"),
+    "min_trip_duration_sec": ("segmentation", "min_trip_seconds"),
+    "match_threshold_m": ("topology", "match_distance_m"), "avg_speed_kmh": ("topology", "default_speed_kmh"),
+    "lat_degree_per_meter": ("topology", "degrees_per_metre_lat"), "lon_degree_per_meter": ("topology", "degrees_per_metre_lon"),
+}
+# Keys about processes, progress and file names, which have no meaning here.
+IDLE = (
+    "raw_csv_chunksize parallel_workers parallel_submit_window monitor_enabled monitor_show_resources monitor_every_n_chunks sampling_dist_cache_enabled "
+    "sampling_dist_parallel_workers sampling_dist_partition_count sampling_dist_keep_temp sampling_dist_fallback_serial_on_error workers shard_count submit_window "
+    "progress_step verbose road_graph_filename node_position_filename edges_csv_filename match_npy_filename match_csv_filename"
+).split()
+SECTIONS = ("paths", "rules", "segmentation", "topology")
+
 C = TypeVar("C", Rules, Segmentation, Topology)
 
 
@@ -73,6 +97,34 @@ def read_json(path: str) -> dict:
     return data
 
 
+def sections(data: dict) -> dict:
+    """The configuration in sections: as it is, or made from a flat file. Keys of a flat file that nothing knows raise."""
+    if set(data) & set(SECTIONS) or not data:
+        return data
+    own = {f.name: name for name, kind in (("rules", Rules), ("segmentation", Segmentation), ("topology", Topology)) for f in fields(kind)}
+    out: dict = {name: {} for name in SECTIONS}
+    unknown = []
+    for key, value in data.items():
+        section, name = FLAT.get(key, (own.get(key), key))
+        if section is None:
+            unknown += [] if key in IDLE or key == "low_hours" else [key]
+        elif section:
+            out[section][name] = value
+        else:
+            out[name] = value
+    if unknown:
+        raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+    if "low_hours" in data:
+        g = overlay(Segmentation(), out["segmentation"])
+        if sorted(data["low_hours"]) != [h for h in range(24) if h not in (*g.high_hours, *g.flat_hours)]:
+            raise ValueError("low_hours must be the hours that are neither high nor flat")
+    if "output" not in out["paths"]:
+        first = next((out["paths"][k] for k in ("passes", "excluded_supplement", "roads") if k in out["paths"]), None)
+        if first:
+            out["paths"]["output"] = first.rpartition("/")[0] or "."
+    return out
+
+
 def overlay(base: C, values: dict, strict: bool = True) -> C:
     """base with the values of known names; lists become tuples. Unknown names raise, unless not strict."""
     names = {f.name for f in fields(base)}

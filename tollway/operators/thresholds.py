@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tollway.config import Segmentation
@@ -16,8 +17,20 @@ ROWS = "from_KKBH string, to_KKBH string, kkod string, period string, min double
 
 
 def fixed_threshold(gaps: DataFrame, s: Segmentation) -> DataFrame:
-    """One row: B, the exact quantile of all gaps, linearly interpolated."""
-    return gaps.agg(F.percentile("time", F.lit(s.fixed_quantile)).alias("B"))
+    """One row: B, the exact quantile of all gaps, linearly interpolated; null if there are none.
+
+    Distinct values are ranked minute by minute, after the minutes' own counts, so that no task holds all of them."""
+    each = gaps.where("time is not null").groupBy("time").agg(F.count("*").alias("n")).withColumn("minute", F.floor(F.col("time") / 60))
+    minutes = each.groupBy("minute").agg(F.sum("n").alias("m"))
+    below = F.coalesce(F.sum("m").over(W.orderBy("minute").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    minutes = minutes.select("minute", below.alias("below"), (F.lit(s.fixed_quantile) * (F.sum("m").over(W.partitionBy()) - 1)).alias("rank"))
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("minute").orderBy("time").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    x = each.join(minutes, "minute").withColumn("from", F.col("below") + inside)
+    here = lambda r: (F.col("from") <= r) & (r < F.col("from") + F.col("n"))
+    low, high, rank = F.floor("rank"), F.ceil("rank"), F.col("rank")
+    x = x.where(here(low) | here(high)).agg(F.max(F.when(here(low), F.col("time"))).alias("a"), F.max(F.when(here(high), F.col("time"))).alias("b"), F.max("rank").alias("rank"))
+    between = (high - rank) * F.col("a") + (rank - low) * F.col("b")
+    return x.select(F.when(low == high, F.col("a").cast("double")).otherwise(between).alias("B"))
 
 
 def classify(gaps: DataFrame, s: Segmentation) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tollway.config import Rules, Segmentation, Topology
 from tollway.operators import clean, diagnostics, impute, mapping, match, rules, stats, thresholds, topology, trips
-from tollway.sources import sinks, tables
+from tollway.sources import arrays, shapefile, sinks, tables
 
 
 @dataclass(frozen=True)
@@ -43,15 +43,18 @@ def supplement(s: Sources, r: Rules, distribution: DataFrame | None = None) -> t
     normal = clean.normalize_for_split(clean.center_filter(raw, s.checkpoints), r.timestamp_formats)
     mapped = mapping.match_topology(rules.excluded(normal, r), s.route, mapping.with_coordinates(s.checkpoints))
     dist = impute.sampling_distribution(raw, r.timestamp_formats) if distribution is None else distribution
+    pool = impute.vehicle_pool(s.vehicles, r)
+    if pool.isEmpty():
+        raise ValueError("the vehicle table has no vehicle of a valid class and fuel")
     # both sinks read the device table
-    attributes = impute.device_attributes(mapped, impute.vehicle_pool(s.vehicles, r), dist, r).persist()
+    attributes = sinks.checkpointed(impute.device_attributes(mapped, pool, dist, r))
     return impute.rebuild(mapped, attributes), attributes
 
 
-def partition(records: DataFrame, route: DataFrame, g: Segmentation) -> tuple[DataFrame, DataFrame, dict]:
-    """(trips, thresholds, metadata) of excluded records. Thresholds are learnt before records off the route go."""
+def partition(records: DataFrame, route: DataFrame, g: Segmentation) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
+    """(trips, thresholds, gaps, metadata) of excluded records. Thresholds are learnt before records off the route go."""
     x = clean.normalize_for_partition(records)
-    gaps = sinks.checkpointed(stats.gaps(x).drop("CLTMBH", "KKOD"))  # read by three plans
+    gaps = sinks.checkpointed(stats.gaps(x).drop("CLTMBH"))  # read by four plans
     b = sinks.checkpointed(thresholds.fixed_threshold(gaps, g))
     fixed = b.first()["B"]
     if fixed is None:
@@ -59,7 +62,8 @@ def partition(records: DataFrame, route: DataFrame, g: Segmentation) -> tuple[Da
     rows = sinks.checkpointed(thresholds.thresholds(gaps, g))
     pts = trips.points(mapping.on_route(x, route), mapping.node_map(route))
     found = trips.trips(trips.with_bounds(pts, rows, b, g), g)
-    return found, rows.drop("from_KKBH", "to_KKBH"), {"fixed_b": fixed, "cap": round(g.cap_scale * fixed), "parameters": g}
+    about = {"fixed_b": fixed, "cap": round(g.cap_scale * fixed), "gaps": gaps.count(), "threshold_rows": rows.count()}
+    return found, rows.drop("from_KKBH", "to_KKBH"), gaps.select("KKOD", "time", "hour"), about
 
 
 def road_graph(roads: DataFrame, t: Topology) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +82,7 @@ def diagnose(s: Sources, rebuilt: DataFrame, attributes: DataFrame, r: Rules, k:
     """The diagnostic reports by name."""
     raw = clean.with_sequence(s.raw)
     center = clean.center_filter(raw, s.checkpoints)
-    normal = clean.normalize_for_split(center, r.timestamp_formats)
+    normal = sinks.checkpointed(clean.normalize_for_split(center, r.timestamp_formats))  # read by nearly every report
     inside, outside = rules.included(normal, r), rules.excluded(normal, r)
     dist = {
         "included": stats.pair_distribution(inside),
@@ -117,6 +121,16 @@ def diagnose(s: Sources, rebuilt: DataFrame, attributes: DataFrame, r: Rules, k:
     return reports
 
 
-def read_sources(spark: SparkSession, paths: dict[str, str], encoding: str | None = None) -> Sources:
-    read = lambda name: tables.read_table(spark, paths[name], encoding) if name in paths else None
+def read_source(spark: SparkSession, name: str, path: str, encoding: str | None = None, id_field: str = "KKBH") -> DataFrame:
+    """The table at a path by its kind: shapefiles of checkpoints and roads, match arrays of the route, else Parquet or CSV."""
+    if path.endswith(".shp") and name in ("checkpoints", "roads"):
+        charset = encoding or "utf-8"
+        return shapefile.checkpoints(spark, path, id_field, charset) if name == "checkpoints" else shapefile.roads(spark, path, charset)
+    if path.endswith(".npy") and name == "route":
+        return arrays.read_match_npy(spark, path)
+    return tables.read_table(spark, path, encoding)
+
+
+def read_sources(spark: SparkSession, paths: dict[str, str], encoding: str | None = None, id_field: str = "KKBH") -> Sources:
+    read = lambda name: read_source(spark, name, paths[name], encoding, id_field) if name in paths else None
     return Sources(read("raw"), read("checkpoints"), read("route"), read("vehicles"))

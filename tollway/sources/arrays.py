@@ -50,6 +50,24 @@ def write_positions_npy(nodes: DataFrame, path: str) -> None:
     np.savez(path, name=np.array([r[0] for r in rows], dtype=np.str_), xy=np.array([r[1:] for r in rows], dtype=float).reshape(-1, 2))
 
 
+COLUMNS = ("kkod", "period", "min", "median", "max")
+
+
+def write_thresholds_npy(rows: DataFrame, path: str) -> None:
+    """Rows of pair, period, min, median and max, as text."""
+    found = _rows(rows.select(*COLUMNS), ROWS)
+    np.save(path, np.array([["nan" if v is None else str(v) for v in r] for r in found], dtype=np.str_).reshape(-1, len(COLUMNS)))
+
+
+def read_thresholds_npy(spark: SparkSession, path: str) -> DataFrame:
+    """(from_KKBH, to_KKBH, kkod, period, min, median, max) of an array of five columns. Pickled objects are not read."""
+    data = np.load(io.BytesIO(head_bytes(spark, path, BYTES)), allow_pickle=False)
+    if data.ndim != 2 or data.shape[1] != len(COLUMNS):
+        raise ValueError(f"{path}: rows of {', '.join(COLUMNS)} are expected")
+    rows = [(*str(k).split("-", 1), str(k), str(p), *map(float, x)) for k, p, *x in data]
+    return spark.createDataFrame(rows, "from_KKBH string, to_KKBH string, kkod string, period string, min double, median double, max double")
+
+
 def write_xlsx(df: DataFrame, path: str, most: int = 100_000) -> None:
     """One sheet with a header; numbers as numbers, all else as text."""
 

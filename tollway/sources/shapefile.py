@@ -9,6 +9,8 @@ import struct
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollway.sources.tables import exists
+
 POINT, LINE = 1, 3
 SCHEMA = "path string, seq long, points array<array<struct<lon:double,lat:double>>>, attributes map<string,string>"
 
@@ -49,8 +51,9 @@ def attributes(data: bytes, encoding: str = "utf-8"):
 
 
 def read(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """One row per shape: path, seq (its place in the file), points (parts), attributes."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{shp,dbf}").load(path)
+    """One row per shape of a file, or of all files of a folder: path, seq (its place in the file), points (parts), attributes."""
+    names = [path] if not path.endswith(".shp") else [x for x in (path, path[:-4] + ".dbf") if x == path or exists(spark, x)]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{shp,dbf}").load(names)
     stem = F.regexp_replace("path", "\\.(shp|dbf)$", "")
     both = files.groupBy(stem.alias("stem")).agg(F.first(F.when(F.col("path").endswith(".shp"), F.col("content")), ignorenulls=True).alias("shp"), F.first(F.when(F.col("path").endswith(".dbf"), F.col("content")), ignorenulls=True).alias("dbf"))
 

@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import json
+import re
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollway.sources.tables import CHARSETS
+
 LOGIC_VERSION = 1
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, materialised in the session's checkpoint folder (reliable, not on executors)."""
+    """df, materialised in the session's checkpoint folder (reliable, not on executors).
+
+    A session on one machine without such a folder gets one; on a cluster it is an error."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
-            import tempfile
-
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = f"file://{tempfile.gettempdir()}/checkpoints"
         sc.setCheckpointDir(folder)
     return df.checkpoint()
@@ -36,11 +42,17 @@ def write_parquet(df: DataFrame, path: str, partitions: int | None = None) -> st
     return path
 
 
-def write_csv(df: DataFrame, path: str, bom: bool = True) -> None:
-    """CSV with a header, for reports; the first column's name carries the byte order mark that spreadsheets look for."""
-    if bom and df.columns:
+def write_csv(df: DataFrame, path: str, encoding: str | None = "utf-8-sig", one: bool = True) -> None:
+    """CSV with a header; under `utf-8-sig` the first column's name carries the byte order mark that spreadsheets look for.
+
+    one: a single file, for reports; else as many as there are partitions, each with a header."""
+    encoding = (encoding or "utf-8-sig").lower()
+    if encoding == "utf-8-sig" and df.columns:
         df = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0])
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    charset = "UTF-8" if encoding.startswith("utf-8") else encoding.upper()
+    if charset in ("GBK", "GB18030"):
+        df.sparkSession.conf.set(CHARSETS, "true")
+    (df.coalesce(1) if one else df).write.mode("overwrite").csv(path, header=True, encoding=charset)
 
 
 def write_json(values: dict, path: str) -> None:

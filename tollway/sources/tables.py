@@ -89,6 +89,18 @@ def read_table(spark: SparkSession, path: str, encoding: str | None = None) -> D
     return spark.read.parquet(swapped) if exists(spark, swapped) and swapped.endswith(".parquet") else read_csv(spark, path, encoding)
 
 
+def read_gml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes: id, name; edges: start_node, end_node, road_length, kind, duration) of a graph file. What the file lacks is null."""
+    parts = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", "(?=\\b(?:node|edge)\\s*\\[)")).alias("part"))
+    number = lambda c: F.regexp_extract("part", rf"\b{c}\s+(-?[0-9][0-9.eE+-]*)", 1)
+    some = lambda c, kind: F.when(number(c) != "", number(c).cast(kind))
+    text = F.regexp_replace(F.regexp_replace(F.regexp_extract("part", '\\blabel\\s+"([^"]*)"', 1), "&quot;", '"'), "&amp;", "&")
+    nodes = parts.where(F.col("part").startswith("node")).select(some("id", "long").alias("id"), text.alias("name"))
+    edges = parts.where(F.col("part").startswith("edge")).select(some("source", "long").alias("source"), some("target", "long").alias("target"), some("length", "double").alias("road_length"), some("kind", "int").alias("kind"), some("duration", "double").alias("duration"))
+    start, end = (nodes.select(F.col("id").alias(i), F.col("name").alias(n)) for i, n in (("source", "start_node"), ("target", "end_node")))
+    return nodes, edges.join(start, "source").join(end, "target").select("start_node", "end_node", "road_length", "kind", "duration")
+
+
 def lines_from_wkt(df: DataFrame, column: str = "wkt") -> DataFrame:
     """df with `line` (array of lon, lat), from LINESTRING or MULTILINESTRING text; of several parts the second is taken."""
     parts = F.split(F.regexp_replace(F.col(column), "^[^(]*\\(+|\\)+\\s*$", ""), "\\)\\s*,\\s*\\(")
