@@ -13,7 +13,7 @@ from tollway.functions import exprs as E
 from tollway.functions.geodesic import haversine_m
 from tollway.operators import clean, diagnostics, impute, mapping, match, rules, stats, thresholds, topology, trips
 from tollway.plans import oracle, views
-from tollway.sources import sinks
+from tollway.sources import sinks, tables
 
 R, S, T = Rules(), Segmentation(), Topology()
 #: Every pair in one row, so that SQL can follow.
@@ -394,6 +394,15 @@ def duration_estimate(spark, sf_dir):
     return s.select("seq", "pt", E.road_kind(F.col("fclass")).alias("kind"), F.round(E.duration(F.col("length"), F.col("fclass"), F.col("maxspeed"), T), 6).alias("duration"))
 
 
+@query("select c_custkey::bigint as seq, pt::int as pt, (case pt when 0 then c_custkey % 100 else c_custkey % 7 + 0.5 end)::double as lon, (c_nationkey + pt)::double as lat from customer, (values (0), (1)) v(pt)")
+def line_parts(spark, sf_dir):
+    """Of lines of several parts the second counts; points are numbered along the line."""
+    text = "concat_ws(' ', c_custkey % 100, c_nationkey), ', ', concat_ws(' ', concat(c_custkey % 7, '.5'), c_nationkey + 1)"
+    wkt = views.view(spark, sf_dir, f"select cast(c_custkey as bigint) as seq, if(c_custkey % 2 = 0, concat('MULTILINESTRING ((9 9, 8 8), (', {text}, '))'), concat('LINESTRING (', {text}, ')')) as wkt from customer")
+    point = F.posexplode(F.col("line"))
+    return tables.lines_from_wkt(wkt).select("seq", point.alias("pt", "p")).select("seq", "pt", F.col("p.lon").alias("lon"), F.col("p.lat").alias("lat"))
+
+
 # matching
 
 NEAR = """near as materialized (select seq, KKBH, name as node, lon, lat, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(Latitude - lat) / 2), 2) + cos(radians(lat)) * cos(radians(Latitude)) * pow(sin(radians(Longitude - lon) / 2), 2))) as dist
