@@ -83,7 +83,7 @@ def _send(hasher: Hasher, buckets: int, block_bytes: int, part: int, parts: int)
                 continue
             name = hashlib.blake2b(k1.tobytes() + k2.tobytes() + ids.tobytes(), digest_size=8).digest()
             block = int(np.frombuffer(name, np.int64)[0])
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)
             new = np.r_[True, h[order[1:]] != h[order[:-1]]]
             again, of = order[~new], order[np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
@@ -93,7 +93,7 @@ def _send(hasher: Hasher, buckets: int, block_bytes: int, part: int, parts: int)
             own = np.sort(order[new])
             h, pos = h[own], pos[own].astype(np.uint32)
             to = ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
-            by = np.argsort(to, kind="stable")
+            by = np.argsort(to.astype(np.uint16) if buckets < 1 << 16 else to, kind="stable")  # radix sort of few values
             cut = np.searchsorted(to[by], np.arange(buckets + 1))
             for b in range(buckets):
                 if cut[b + 1] > cut[b]:

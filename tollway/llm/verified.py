@@ -25,7 +25,7 @@ from tollway.llm.common import partitions
 LARGEST = exchange.LARGEST
 #: Windows that a bucket takes, on average.
 PER_BUCKET = 1 << 20
-SENT = pa.schema([("bucket", pa.int64()), ("body", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "known", "k1", "k2", "pos")), ("more", pa.binary())])
+SENT = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "known", "k1", "k2", "pos")), ("more", pa.binary())])
 PLACE = ["doc_id", "known", "k1", "k2", "pos"]
 #: (data, text offsets) -> (hash prefix sums over units, first unit of each text, bytes of units, where each unit begins in them, and ends)
 Cutter = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
@@ -72,8 +72,9 @@ def _send(cutter: Cutter, size: int, part: int, buckets: int):
             more: list[bytes | None] = [None] * len(index)
             for i in np.flatnonzero(upto - lead > 1).tolist():
                 more[i] = place[lead[i] + 1 : upto[i]].tobytes()
-            bucket = (low[order[lead]] % np.uint64(buckets)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(list(index), pa.binary()), *(pa.array(place[lead, c]) for c in range(5)), pa.array(more, pa.binary())], schema=SENT)
+            low = low[order[lead]]
+            bucket = (low % np.uint64(buckets)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(low.view(np.int64)), pa.array(n[order[lead]]), pa.array(list(index), pa.binary()), *(pa.array(place[lead, c]) for c in range(5)), pa.array(more, pa.binary())], schema=SENT)
 
     return send
 
@@ -83,6 +84,8 @@ def runs_in(hit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     first = np.cumsum(n) - n
     edge = np.zeros(len(hit) + 1, bool)
     edge[first] = True
+    if not len(hit):
+        return first[:0], first[:0], first[:0]
     before = np.r_[False, hit[:-1]] & ~edge[:-1]
     after = np.r_[hit[1:], False] & ~np.r_[edge[1:-1], True]
     start, end = np.flatnonzero(hit & ~before), np.flatnonzero(hit & ~after) + 1
@@ -90,26 +93,41 @@ def runs_in(hit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return segment, start - first[segment], end - start
 
 
-def judged(bodies: list[bytes], place: np.ndarray, more: list[bytes | None], classes: Classes, ordered: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the stretches of one bucket: their places, those that have repeated windows, once for each run; the run's first window and length."""
+def judged(rows: pa.Table, classes: Classes, ordered: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the stretches of one bucket: their places, those that have repeated windows, once for each run; the run's first window and length.
+
+    Only windows of stretches with the same smallest hash can be equal. Where each of these has two places all windows
+    are repeated, and where there is one stretch only its least doc_id is asked for: the rest gets classes."""
+    place = np.stack([rows.column(c).to_numpy() for c in PLACE], 1)
     index: dict[bytes, int] = {}
-    of = np.array([index.setdefault(x, len(index)) for x in bodies])
-    rest = [(i, np.frombuffer(x, np.int64).reshape(-1, 5)) for i, x in enumerate(more) if x is not None]
+    of = np.array([index.setdefault(x, len(index)) for x in rows.column("body").to_pylist()])
+    lead = np.unique(of, return_index=True)[1]
+    n, group = (rows.column(c).to_numpy()[lead] for c in ("n", "low"))
+    rest = [(i, np.frombuffer(x, np.int64).reshape(-1, 5)) for i, x in enumerate(rows.column("more").to_pylist()) if x is not None]
     place = np.concatenate([place, *(x for _, x in rest)])
     of = np.concatenate([of, *(np.full(len(x), of[i]) for i, x in rest)])
-    name, first = classes(list(index))
-    n = np.diff(first)
+    times, group = np.bincount(of), np.unique(group, return_inverse=True)[1]
+    open_ = (np.bincount(group) > 1 if ordered else np.bincount(group, times == 1) > 0)[group]
+    name = np.zeros(0, np.int64)
+    begin = np.cumsum(np.where(open_, n, 0)) - np.where(open_, n, 0)
+    if open_.any():
+        name, _ = classes([x for x, o in zip(index, open_.tolist(), strict=True) if o])
     if ordered:
         low = np.full(len(index), LARGEST)
         np.minimum.at(low, of, place[:, 0])
-        lowest = np.full(int(name.max()) + 1, LARGEST)
-        np.minimum.at(lowest, name, np.repeat(low, n))
-        own, many = n[of], np.cumsum(n[of])
-        window = np.repeat(first[of] - (many - own), own) + np.arange(many[-1])
-        which, start, length = runs_in(lowest[name[window]] < np.repeat(place[:, 0], own), own)
+        lowest = np.full(int(name.max(initial=0)) + 1, LARGEST)
+        np.minimum.at(lowest, name, np.repeat(low[open_], n[open_]))
+        whole = np.flatnonzero(~open_[of] & (low[of] < place[:, 0]))
+        mine = np.flatnonzero(open_[of])
+        own = n[of[mine]]
+        window = np.repeat(begin[of[mine]] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        which, start, length = runs_in(lowest[name[window]] < np.repeat(place[mine, 0], own), own)
+        which, start, length = np.r_[mine[which], whole], np.r_[start, np.zeros(len(whole), np.int64)], np.r_[length, n[of[whole]]]
     else:
-        total = np.bincount(name, np.repeat(np.bincount(of, minlength=len(index)), n))
-        body, start, length = runs_in(total[name] > 1, n)
+        total = np.bincount(name, np.repeat(times[open_], n[open_]))
+        body, start, length = runs_in(total[name] > 1, n[open_])
+        whole = np.flatnonzero(~open_)
+        body, start, length = np.r_[np.flatnonzero(open_)[body], whole], np.r_[start, np.zeros(len(whole), np.int64)], np.r_[length, n[whole]]
         # each run goes to every place of its stretch
         order = np.argsort(of, kind="stable")
         low, high = np.searchsorted(of[order], body), np.searchsorted(of[order], body, "right")
@@ -122,8 +140,7 @@ def judged(bodies: list[bytes], place: np.ndarray, more: list[bytes | None], cla
 def _judge(classes: Classes, ordered: bool):
     def judge(batches):
         for run in exchange.sorted_runs(batches, ["bucket"]):
-            place = np.stack([run.column(c).to_numpy() for c in PLACE], 1)
-            place, start, length = judged(run.column("body").to_pylist(), place, run.column("more").to_pylist(), classes, ordered)
+            place, start, length = judged(run, classes, ordered)
             ids = pa.array(place[:, 0], pa.int64(), mask=place[:, 1] == 0)
             yield pa.RecordBatch.from_arrays([ids, pa.array(place[:, 2]), pa.array(place[:, 3]), pa.array(place[:, 4] + start), pa.array(length)], names=["doc_id", "k1", "k2", "pos", "n"])
 
@@ -137,7 +154,7 @@ def repeats(docs: DataFrame, windows: int, cutter: Cutter, classes: Classes, siz
     ordered: only places in documents with a smaller doc_id count (a null id is the largest)."""
     n = partitions(docs.sparkSession)
     buckets = max(8 * n, windows // PER_BUCKET)
-    sent = docs.mapInArrow(_send(cutter, size, part, buckets), "bucket long, body binary, doc_id long, known long, k1 long, k2 long, pos long, more binary")
+    sent = docs.mapInArrow(_send(cutter, size, part, buckets), "bucket long, low long, n long, body binary, doc_id long, known long, k1 long, k2 long, pos long, more binary")
     met = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
     hits = met.mapInArrow(_judge(classes, ordered), "doc_id long, k1 long, k2 long, pos long, n long")
     return hits.groupBy("doc_id", "k1", "k2").agg(F.collect_set(F.struct("pos", "n")).alias("hits"))
