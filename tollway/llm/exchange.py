@@ -6,8 +6,11 @@ sorts the hashes of all blocks and answers with the positions of those that seve
 by block. A window that stands in a third of all documents is sent once for each block.
 
 Answers are candidates: every window that occurs twice is one, and so are a few others whose bits are equal by
-chance. ``verified`` settles them by the texts themselves. What a bucket holds is bounded (PER_BUCKET): more windows
-take more shares, which are exchanged one after the other.
+chance. ``verified`` settles them by the texts themselves.
+
+What a bucket holds is bounded (PER_BUCKET): more windows take more shares. Then texts are hashed once, into a table
+whose rows are sorted by share, and shares are exchanged one after the other, many blocks as one, so that packing pays
+however many buckets there are.
 
 Documents are told apart by (doc_id, k1, k2)."""
 
@@ -25,10 +28,10 @@ from tollway.llm import rolling
 from tollway.llm.common import partitions, row_key, small_batches, written
 
 LARGEST = np.iinfo(np.int64).max
-#: Bytes of text in a block at least, and at most where many buckets ask for more of it.
-BLOCK, LARGEST_BLOCK = 2 << 20, 64 << 20
-#: Hashes that a block should have for each bucket, so that packing pays.
-PER_ROW = 64
+#: Bytes of text in a block, but one document at least.
+BLOCK = 2 << 20
+#: Hashes of a share that are packed at once, at least, and for each bucket.
+PACK, PER_ROW = 1 << 20, 64
 #: Hashes that a bucket holds, on average: some 25 bytes each.
 PER_BUCKET = 4 << 20
 PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
@@ -69,67 +72,140 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _send(hasher: Hasher, buckets: int, block_bytes: int, part: int, parts: int):
+def _blocks(hasher: Hasher, batches) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
+    """Of each block with windows: its name, its home row, its distinct hashes and a position of each, by position."""
+    for batch in rolling.chunks(batches, "text", BLOCK):
+        ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
+        k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
+        data, at = rolling.texts(batch.column("text"))
+        h, pos, first = hasher(data, at, batch)
+        if not len(h):
+            continue
+        name = hashlib.blake2b(k1.tobytes() + k2.tobytes() + ids.tobytes(), digest_size=8).digest()
+        order = np.argsort(h)
+        new = np.r_[True, h[order[1:]] != h[order[:-1]]]
+        again, of = order[~new], order[np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
+        known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+        twice = np.sort(pos[np.unique(np.r_[again, of])]).astype(np.uint32)
+        home = pack(ids, known.astype(np.uint8), k1, k2, first.astype(np.int64), deltas(twice))
+        own = np.sort(order[new])
+        yield int(np.frombuffer(name, np.int64)[0]), home, h[own], pos[own].astype(np.uint32)
+
+
+def _dealt(h: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets and the hashes that go there."""
+    to = (h >> np.uint64(33)) % np.uint64(buckets)
+    to = to.astype(np.uint16 if buckets < 1 << 16 else np.int32)
+    by = np.argsort(to, kind="stable")  # radix sort of few values
+    cut = np.searchsorted(to[by], np.arange(buckets + 1))
+    for b in range(buckets):
+        if cut[b + 1] > cut[b]:
+            yield b, by[cut[b] : cut[b + 1]]
+
+
+def _send(hasher: Hasher, buckets: int):
     def send(batches):
-        for batch in rolling.chunks(batches, "text", block_bytes):
-            ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
-            k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
-            data, at = rolling.texts(batch.column("text"))
-            h, pos, first = hasher(data, at, batch)
-            if parts > 1:
-                mine = h % np.uint64(parts) == part
-                h, pos = h[mine], pos[mine]
-            if not len(h):
-                continue
-            name = hashlib.blake2b(k1.tobytes() + k2.tobytes() + ids.tobytes(), digest_size=8).digest()
-            block = int(np.frombuffer(name, np.int64)[0])
-            order = np.argsort(h)
-            new = np.r_[True, h[order[1:]] != h[order[:-1]]]
-            again, of = order[~new], order[np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
-            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            twice = np.sort(pos[np.unique(np.r_[again, of])]).astype(np.uint32)
-            home = pack(ids, known.astype(np.uint8), k1, k2, first.astype(np.int64), deltas(twice))
+        for block, home, h, pos in _blocks(hasher, batches):
             rows = [(block % buckets, block, True, home)]
-            own = np.sort(order[new])
-            h, pos = h[own], pos[own].astype(np.uint32)
-            to = ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
-            by = np.argsort(to.astype(np.uint16) if buckets < 1 << 16 else to, kind="stable")  # radix sort of few values
-            cut = np.searchsorted(to[by], np.arange(buckets + 1))
-            for b in range(buckets):
-                if cut[b + 1] > cut[b]:
-                    x = by[cut[b] : cut[b + 1]]
-                    rows.append((b, block, False, pack(h[x].astype(np.uint32), deltas(pos[x]))))
+            rows += [(b, block, False, pack(h[x].astype(np.uint32), deltas(pos[x]))) for b, x in _dealt(h, buckets)]
             yield _rows(PACKED, rows)
 
     return send
 
 
-def _answer(batches):
-    blocks, hs, ps = [], [], []
-    for batch in batches:
-        for block, home, body in zip(*(batch.column(c).to_pylist() for c in ("block", "home", "body")), strict=True):
-            if home:
-                yield _rows(ANSWER, [(block, True, body)])
-            else:
-                h, p = unpack(body, np.uint32, np.uint32)
+def _hash(hasher: Hasher, parts: int):
+    """Home rows as share -1, and a row of each block for each share."""
+
+    def hashed(batches):
+        for block, home, h, pos in _blocks(hasher, batches):
+            rows = [(-1, block, True, home)]
+            share = h % np.uint64(parts)
+            for part in range(parts):
+                mine = share == part
+                if mine.any():
+                    rows.append((part, block, False, pack(h[mine], deltas(pos[mine]))))
+            yield _rows(PACKED, rows)
+
+    return hashed
+
+
+def _pack(buckets: int):
+    """Rows of a share's blocks as one block: hashes by bucket, each with its block's number and its position; the home row names the blocks."""
+
+    def packed(blocks, hs, ps):
+        names = np.array(blocks, np.int64)
+        of = np.repeat(np.arange(len(blocks), dtype=np.uint32), [len(x) for x in hs])
+        h, pos = np.concatenate(hs), np.concatenate(ps)
+        whole = int(np.frombuffer(hashlib.blake2b(names.tobytes(), digest_size=8).digest(), np.int64)[0])
+        rows = [(whole % buckets, whole, True, names.tobytes())]
+        rows += [(b, whole, False, pack(h[x].astype(np.uint32), deltas(of[x]), pos[x])) for b, x in _dealt(h, buckets)]
+        return _rows(PACKED, rows)
+
+    def run(batches):
+        blocks, hs, ps, n = [], [], [], 0
+        for batch in batches:
+            for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                h, p = unpack(body, np.uint64, np.uint32)
                 blocks.append(block)
                 hs.append(h)
-                ps.append(p)
-    if not blocks:
-        return
-    h = np.concatenate(hs)
-    hs.clear()
-    order = np.argsort(h)
-    h = h[order]
-    same = h[1:] == h[:-1]
-    hit = np.zeros(len(h), bool)
-    hit[order[1:][same]] = hit[order[:-1][same]] = True
-    at = 0
-    for block, p in zip(blocks, ps, strict=True):
-        mine = np.cumsum(p, dtype=np.uint32)[hit[at : at + len(p)]]
-        at += len(p)
-        if len(mine):
-            yield _rows(ANSWER, [(block, False, planes(deltas(mine)))])
+                ps.append(np.cumsum(p, dtype=np.uint32))
+                n += len(h)
+                if n >= max(PACK, PER_ROW * buckets):
+                    yield packed(blocks, hs, ps)
+                    blocks, hs, ps, n = [], [], [], 0
+        if blocks:
+            yield packed(blocks, hs, ps)
+
+    return run
+
+
+def _answer(kinds: int):
+    """Rows of the hashes that several have, without these. kinds: numbers that follow a hash, the first of them as deltas."""
+
+    def answer(batches):
+        blocks, hs, rest = [], [], []
+        for batch in batches:
+            for block, home, body in zip(*(batch.column(c).to_pylist() for c in ("block", "home", "body")), strict=True):
+                if home:
+                    yield _rows(ANSWER, [(block, True, body)])
+                else:
+                    h, *more = unpack(body, *[np.uint32] * (kinds + 1))
+                    blocks.append(block)
+                    hs.append(h)
+                    rest.append(more)
+        if not blocks:
+            return
+        h = np.concatenate(hs)
+        hs.clear()
+        order = np.argsort(h)
+        h = h[order]
+        same = h[1:] == h[:-1]
+        hit = np.zeros(len(h), bool)
+        hit[order[1:][same]] = hit[order[:-1][same]] = True
+        at = 0
+        for block, more in zip(blocks, rest, strict=True):
+            some = hit[at : at + len(more[0])]
+            at += len(some)
+            if some.any():
+                yield _rows(ANSWER, [(block, False, pack(deltas(np.cumsum(more[0], dtype=np.uint32)[some]), *(x[some] for x in more[1:])))])
+
+    return answer
+
+
+def _split(batches):
+    """Answers of packed blocks, block by block."""
+    for batch in batches:
+        for items in batch.column("items"):
+            items = items.as_py()
+            names = np.frombuffer(next(x["body"] for x in items if x["home"]), np.int64)
+            found = [unpack(x["body"], np.uint32, np.uint32) for x in items if not x["home"]]
+            if found:
+                of, pos = np.concatenate([np.cumsum(o, dtype=np.uint32) for o, _ in found]), np.concatenate([p for _, p in found])
+                order = np.lexsort((pos, of))
+                of, pos = of[order], pos[order]
+                cut = np.searchsorted(of, np.arange(len(names) + 1))
+                rows = [(int(names[i]), False, pack(deltas(pos[cut[i] : cut[i + 1]]))) for i in range(len(names)) if cut[i + 1] > cut[i]]
+                yield _rows(ANSWER, rows)
 
 
 def _collect(batches):
@@ -144,7 +220,7 @@ def _collect(batches):
                 mark[np.cumsum(twice, dtype=np.uint32)] = True
                 for x in items:
                     if not x["home"]:
-                        mark[np.cumsum(from_planes(x["body"], np.uint32), dtype=np.uint32)] = True
+                        mark[np.cumsum(*unpack(x["body"], np.uint32), dtype=np.uint32)] = True
                 n = np.add.reduceat(np.r_[mark, False], first[:-1], dtype=np.int64) * (np.diff(first) > 0)
                 rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes(), int(n[i])) for i in np.flatnonzero(n)]
                 if rows:
@@ -180,18 +256,21 @@ def repeats(docs: DataFrame, hasher: Hasher, name: str, hashes: int, per_bucket:
     """(doc_id, k1, k2, hits, n): the windows of each document that may occur again, as bitmaps over the positions of their starts, and how many they are.
 
     docs: doc_id, k1, k2, text and what the hasher reads. hashes: about how many windows there are; it decides on the
-    shares, each of which leaves only its answers. A document has a row for each share that found some."""
+    shares. Equal rows have one row each or more."""
     buckets = partitions(docs.sparkSession)
     parts = -(-hashes // (per_bucket * buckets)) or 1
-    block_bytes = min(LARGEST_BLOCK, max(BLOCK, PER_ROW * buckets * parts))
-    found = None
-    for part in range(parts):
-        sent = docs.mapInArrow(_send(hasher, buckets, block_bytes, part, parts), "bucket int, block long, home boolean, body binary")
-        heard = sent.repartitionById(buckets, "bucket").mapInArrow(_answer, "block long, home boolean, body binary")
-        by_block = heard.groupBy("block").agg(F.collect_list(F.struct("home", "body")).alias("items"))
-        hits = written(by_block.mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long"), name)
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    ddl, items = "block long, home boolean, body binary", F.collect_list(F.struct("home", "body")).alias("items")
+    if parts == 1:
+        sent = docs.mapInArrow(_send(hasher, buckets), f"bucket int, {ddl}")
+        heard = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(1), ddl)
+    else:
+        hashed = written(docs.mapInArrow(_hash(hasher, parts), f"bucket int, {ddl}").sortWithinPartitions("bucket"), f"{name}-hashes")
+        heard = hashed.where("home").select("block", "home", "body")
+        for part in range(parts):
+            sent = hashed.where(F.col("bucket") == part).mapInArrow(_pack(buckets), f"bucket int, {ddl}")
+            answers = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(2), ddl)
+            heard = heard.unionByName(written(answers.groupBy("block").agg(items).mapInArrow(_split, ddl), f"{name}-answers"))
+    return written(heard.groupBy("block").agg(items).mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long"), name)
 
 
 def gathered(found: DataFrame) -> DataFrame:
