@@ -36,7 +36,7 @@ PACK, PER_ROW = 1 << 20, 64
 PER_BUCKET = 4 << 20
 PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
 ANSWER = pa.schema([("block", pa.int64()), ("home", pa.bool_()), ("body", pa.binary())])
-SPANS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("hits", pa.binary()), ("n", pa.int64())])
+SPANS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("hits", pa.binary()), ("n", pa.int64()), ("size", pa.int64())])
 #: (data, text offsets, batch) -> (hash of each window, its position, first position of each text)
 Hasher = Callable[[np.ndarray, np.ndarray, pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -222,7 +222,7 @@ def _collect(batches):
                     if not x["home"]:
                         mark[np.cumsum(*unpack(x["body"], np.uint32), dtype=np.uint32)] = True
                 n = np.add.reduceat(np.r_[mark, False], first[:-1], dtype=np.int64) * (np.diff(first) > 0)
-                rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes(), int(n[i])) for i in np.flatnonzero(n)]
+                rows = [(int(ids[i]) if known[i] else None, int(k1[i]), int(k2[i]), np.packbits(mark[first[i] : first[i + 1]]).tobytes(), int(n[i]), int(first[i + 1] - first[i])) for i in np.flatnonzero(n)]
                 if rows:
                     yield _rows(SPANS, rows)
 
@@ -253,7 +253,7 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, hasher: Hasher, name: str, hashes: int, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """(doc_id, k1, k2, hits, n): the windows of each document that may occur again, as bitmaps over the positions of their starts, and how many they are.
+    """(doc_id, k1, k2, hits, n, size): the windows of each document that may occur again, as bitmaps over the positions of their starts, how many they are, and how many units the document has.
 
     docs: doc_id, k1, k2, text and what the hasher reads. hashes: about how many windows there are; it decides on the
     shares. Equal rows have one row each or more."""
@@ -270,7 +270,7 @@ def repeats(docs: DataFrame, hasher: Hasher, name: str, hashes: int, per_bucket:
             sent = hashed.where(F.col("bucket") == part).mapInArrow(_pack(buckets), f"bucket int, {ddl}")
             answers = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(2), ddl)
             heard = heard.unionByName(written(answers.groupBy("block").agg(items).mapInArrow(_split, ddl), f"{name}-answers"))
-    return written(heard.groupBy("block").agg(items).mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long"), name)
+    return written(heard.groupBy("block").agg(items).mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long, size long"), name)
 
 
 def gathered(found: DataFrame) -> DataFrame:

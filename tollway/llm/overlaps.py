@@ -2,8 +2,9 @@
 
 Two sets with the share in common meet, in any one order of all shingles, within their first
 n - ceil(share * n) + 1. The order is rarest first: shingles that occur once in the corpus (``exchange``), which have no
-one to meet, then by counts over all documents in WIDTH cells that shingles are hashed to. A document with enough
-shingles of its own can have no partner and takes no further part. The counts decide the work, not the result.
+one to meet, then by counts in WIDTH cells that shingles are hashed to. A document with enough shingles of its own can
+have no partner: it takes no further part and is not counted, so that only the first step reads the whole corpus in
+Python. The counts decide the work, not the result.
 
 Pairs are proposed in three ways and verified on the whole sets: by the fingerprints' trie; by rounds in which a few
 leaders of each crowded shingle meet all others; and at last by all pairs of sets of different components that share
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling, simhash
-from tollway.llm.common import written
+from tollway.llm.common import BLANKS, written
 
+#: Bytes of a word and its blank, for the number of shingles to expect.
+WORD_BYTES = 5
 #: Cells of the counts (8 bytes each at the driver and in every task), and slices that they are summed in.
 WIDTH, SLICES = 1 << 20, 64
 #: A shingle that so many sets have is crowded: a few LEADERS meet all others, in ROUNDS, before any two meet.
@@ -75,7 +78,7 @@ def prefix_of(own: np.ndarray, weight: np.ndarray, share: float) -> np.ndarray:
 
 
 def counted(docs: DataFrame, shingle: int) -> np.ndarray:
-    """How many shingles of all documents each cell has."""
+    """How many shingles of the documents each cell has."""
     width = WIDTH // SLICES
 
     def count(batches):
@@ -100,11 +103,20 @@ def counted(docs: DataFrame, shingle: int) -> np.ndarray:
     return out
 
 
-def prints(docs: DataFrame, shingle: int, share: float) -> DataFrame:
-    """doc_id, k1, k2, fp, own (the name of its set), n (its size) and prefix of each document."""
+def likely(docs: DataFrame, shingle: int, share: float) -> DataFrame:
+    """doc_id, k1, k2, text and hits (shingles that occur again) of the documents that may have a partner: at most 1 - share of their shingles are their own."""
     rows = exchange.keyed(docs)
-    counts = docs.sparkSession.sparkContext.broadcast(counted(docs, shingle))
-    again = exchange.repeats(rows, hasher(shingle), "again", int(counts.value.sum()))
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    again = exchange.repeats(rows, hasher(shingle), "again", n_bytes // WORD_BYTES)
+    # repeated in one document: counted more than once here, so that none is missed
+    many = F.greatest(F.col("size") - (shingle - 1), F.lit(1))
+    some = again.where(F.col("n") >= F.ceil(F.lit(share) * many - 1e-9))
+    return written(exchange.joined(rows, exchange.gathered(some), "inner"), "likely")
+
+
+def prints(some: DataFrame, shingle: int, share: float) -> DataFrame:
+    """doc_id, k1, k2, fp, own (the name of its set), n (its size) and prefix of each document that may have a partner."""
+    counts = some.sparkSession.sparkContext.broadcast(counted(some, shingle))
 
     def each(batches):
         for batch in rolling.chunks(batches, "text"):
@@ -121,7 +133,7 @@ def prints(docs: DataFrame, shingle: int, share: float) -> DataFrame:
             more = [pa.array(fp.view(np.int64)), pa.array([name_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int32()), pa.array(prefix, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), *more], names=["doc_id", "k1", "k2", "fp", "own", "n", "prefix"])
 
-    return exchange.joined(rows, exchange.gathered(again), "left").mapInArrow(each, PRINTS)
+    return some.mapInArrow(each, PRINTS)
 
 
 def _flat(batches):
@@ -221,11 +233,12 @@ def _met(share: float):
 PAIR = "a long, b long"
 
 
-def bodies(rows: DataFrame, own: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+def bodies(rows: DataFrame, own: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
     """(own, body): the whole set of each name in `own`, from one text of each."""
-    one = rows.join(own.select("own"), "own", "left_semi").groupBy("own").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(exchange.LARGEST)).alias("id"), "k1", "k2")).alias("r"))
-    one = written(one.select("own", "r.*"), "asked")
-    text = exchange.keyed(docs).withColumn("id", F.coalesce("doc_id", F.lit(exchange.LARGEST))).join(one, ["id", "k1", "k2"]).select("own", "text")
+    key = ["id", "k1", "k2"]
+    known = F.coalesce("doc_id", F.lit(exchange.LARGEST)).alias("id")
+    one = rows.join(own.select("own"), "own", "left_semi").groupBy("own").agg(F.min(F.struct(known, "k1", "k2")).alias("r"))
+    text = some.select(known, "k1", "k2", "text").join(one.select("own", "r.*"), key).select("own", "text")
 
     def sets(batches):
         for batch in rolling.chunks(batches, "text"):
@@ -261,11 +274,11 @@ def chunked(postings: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFrame:
-    """doc_id, k1, k2 and component (the smallest name of its sets) of each document."""
-    rows = written(prints(docs, shingle, share), "documents")
-    some = rows.where(F.octet_length("prefix") > 0)
-    own = written(some.groupBy("own").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "own")
-    body = bodies(rows, own, docs, shingle)
+    """doc_id, k1, k2 and component (the smallest name of its sets, or the document's own) of each document."""
+    some = likely(docs, shingle, share)
+    rows = written(prints(some, shingle, share), "documents")
+    own = written(rows.where(F.octet_length("prefix") > 0).groupBy("own").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "own")
+    body = bodies(rows, own, some, shingle)
     shared = own.mapInArrow(_flat, "h long, own long")
     several = shared.groupBy("h").count().where("count > 1").select("h")
     shared = written(shared.join(several, "h").join(own.select("own", "n"), "own").select("h", "own", "n"), "shared")
@@ -285,4 +298,10 @@ def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFra
     more = written(verified(written(rest, "rest"), body, share), "more")
     stars = simhash.components(stars.unionByName(more))
     named = rows.select("own").distinct().join(stars.withColumnRenamed("u", "own"), "own", "left").select("own", F.coalesce("v", "own").alias("component"))
-    return rows.select("doc_id", "k1", "k2", "own").join(written(named, "named"), "own")
+    # equal rows are one here: each is the other's partner
+    named = rows.select("doc_id", "k1", "k2", "own").distinct().join(named, "own").select("doc_id", "k1", "k2", "component")
+    named = written(named, "named")
+    every = exchange.keyed(docs).select("doc_id", "k1", "k2", (F.trim(F.coalesce("text", F.lit("")), F.lit(BLANKS)) == "").alias("blank"))
+    same = every["doc_id"].eqNullSafe(named["doc_id"]) & (every["k1"] == named["k1"]) & (every["k2"] == named["k2"])
+    alone = F.when(every["blank"], F.lit(0).cast("long")).otherwise(F.xxhash64(every["k1"], every["k2"]))
+    return every.join(named, same, "left").select(every["doc_id"], every["k1"], every["k2"], F.coalesce("component", alone).alias("component"))
