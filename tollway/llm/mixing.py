@@ -20,10 +20,12 @@ from __future__ import annotations
 
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tollway.llm.common import blank_words, row_key, step, written
+from tollway.llm.common import row_key, small_batches, step, written
 
 MARGINS = ("source", "lang", "topic")
 NONE = "(none)"
@@ -50,19 +52,21 @@ TOPICS = {
 }
 
 
-def topic_of(words: Column) -> Column:
-    """The field with most of its words among the words of a text; `general` for texts with none."""
-    known = {w for own in TOPICS.values() for w in own.split()}
-    some = F.filter(F.transform(words, F.lower), lambda w: w.isin(sorted(known)))
-    votes = [F.struct(F.size(F.array_intersect(some, F.array(*map(F.lit, sorted(set(own.split())))))).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, own) in enumerate(TOPICS.items())]
-    best = F.array_max(F.array(*votes))
-    return F.when(F.size(some) > 0, best["name"]).otherwise("general")
+FIELDS = {name: frozenset(own.encode().split()) for name, own in TOPICS.items()}
+KNOWN = frozenset().union(*FIELDS.values())
 
 
-def margins_of(docs: DataFrame, words: Column) -> list[Column]:
-    """The cell of a document, as columns named like MARGINS."""
-    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
-    return [value("source").alias("source"), value("lang").alias("lang"), (value("topic") if "topic" in docs.columns else topic_of(words)).alias("topic")]
+def read(text: bytes) -> tuple[int, str]:
+    """Tokens of a text (runs of bytes that are not ASCII white space), and the field with most of its words among them; `general` if there is none."""
+    words = text.lower().split()
+    some = KNOWN.intersection(words)
+    return len(words), max(FIELDS, key=lambda name: len(FIELDS[name] & some)) if some else "general"
+
+
+@F.arrow_udf(StructType([StructField("n", LongType()), StructField("topic", StringType())]))
+def reading(texts: pa.Array) -> pa.Array:
+    found = [read(x or b"") for x in texts.cast(pa.binary()).to_pylist()]
+    return pa.StructArray.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array([t for _, t in found], pa.string())], names=["n", "topic"])
 
 
 def targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> DataFrame:
@@ -155,8 +159,11 @@ def chance() -> Column:
 
 def tagged(docs: DataFrame) -> DataFrame:
     """The documents as `_row`, with the id, cell, tokens and chance of each."""
-    row = docs.select(F.struct("*").alias("_row"), "doc_id", *[c for c in (*MARGINS, "text") if c in docs.columns], blank_words(F.col("text")).alias("_words"))
-    return row.select("_row", "doc_id", *margins_of(docs, F.col("_words")), F.size("_words").cast("long").alias("n_tokens"), chance().alias("chance"))
+    small_batches(docs.sparkSession)
+    value = lambda c: (F.coalesce(F.col(c).cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)).alias(c)
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", *map(value, MARGINS), chance().alias("chance"), reading(F.coalesce("text", F.lit(""))).alias("_read"))
+    topic = F.col("topic" if "topic" in docs.columns else "_read.topic").alias("topic")
+    return rows.select("_row", "doc_id", "source", "lang", topic, F.col("_read.n").alias("n_tokens"), "chance")
 
 
 def cells_of(rows: DataFrame) -> DataFrame:
