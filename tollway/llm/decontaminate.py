@@ -25,8 +25,9 @@ from tollway.llm.common import row_key, step, written
 
 WINDOW = 13
 SHINGLE = 5
-#: Bits of the bitmap: so many for each shingle, a power of two between these.
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+#: Bits of the bitmap: so many for each shingle, a power of two between these. Two of them are set for each, so that one in a thousand
+#: others passes.
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 29
 SHINGLES = pa.schema([("window", pa.binary()), ("item_id", pa.string()), ("words", pa.string()), ("size", pa.int32()), ("part", pa.int32()), ("shift", pa.int32()), ("h", pa.int64())])
 PROBES = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n_words", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("lead", pa.int32()), ("around", pa.string())])
 KEY = ["doc_id", "k1", "k2"]
@@ -88,15 +89,19 @@ class Sieve:
         self.parts = sorted(r["part"] for r in table.select("part").distinct().collect())
         n = table.count()
         self.bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n).bit_length()))
-        place = F.pmod("h", F.lit(self.bits))
-        word = table.select((F.shiftright(place, 6)).alias("i"), F.expr(f"shiftleft(1L, cast(pmod(h, {self.bits}L) & 63 as int))").alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
+        place = F.explode(F.array(F.pmod("h", F.lit(self.bits)), F.pmod(F.shiftright("h", 32), F.lit(self.bits)))).alias("p")
+        word = table.select(place).select(F.shiftright("p", 6).alias("i"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
         bitmap = np.zeros(self.bits >> 6, np.int64)
         bitmap[word.column("i").to_numpy()] = word.column("b").to_numpy()
         self.sent = spark.sparkContext.broadcast(bitmap.view(np.uint8))
 
     def passes(self, h: np.ndarray) -> np.ndarray:
-        place = h & np.uint64(self.bits - 1)
-        return (self.sent.value[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        bitmap = self.sent.value
+        out = np.ones(len(h), bool)
+        for half in (h, (h.view(np.int64) >> 32).view(np.uint64)):
+            place = half & np.uint64(self.bits - 1)
+            out &= (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return out
 
 
 def _count(sieve: Sieve):
