@@ -6,9 +6,9 @@ one to meet, then by counts in WIDTH cells that shingles are hashed to. A docume
 have no partner: it takes no further part and is not counted, so that only the first step reads the whole corpus in
 Python. The counts decide the work, not the result.
 
-Pairs are proposed in three ways and verified on the whole sets: by the fingerprints' trie; by rounds in which a few
-leaders of each crowded shingle meet all others; and at last by all pairs of sets of different components that share
-a shingle of their prefixes, each looked at where its least common shingle is, and kept if their prefixes allow the
+Pairs are proposed in three ways and verified on the whole sets: by the fingerprints' trie; by a few leaders of each
+crowded shingle, who meet all its others; and at last by all pairs of sets of different components that share a
+shingle of their prefixes, each looked at where its least common shingle is, and kept if their prefixes allow the
 share. A large group of near copies is one component after the first two, so that the third finds little left of it.
 Crowded shingles are cut into chunks, so that no task takes more than two of them.
 
@@ -32,8 +32,8 @@ from tollway.llm.common import BLANKS, written
 WORD_BYTES = 5
 #: Cells of the counts (8 bytes each at the driver and in every task), and slices that they are summed in.
 WIDTH, SLICES = 1 << 20, 64
-#: A shingle that so many sets have is crowded: a few LEADERS meet all others, in ROUNDS, before any two meet.
-CROWD, LEADERS, ROUNDS = 16, 3, 3
+#: A shingle that so many sets have is crowded: its LEADERS meet all others before any two meet.
+CROWD, LEADERS = 16, 4
 #: Sets of a shingle in one chunk; groups above SMALL are compared by bits; pairs that are compared at once.
 CHUNK, SMALL, PAIRS = 2048, 24, 1 << 18
 PRINTS = "doc_id long, k1 long, k2 long, fp long, own long, n int, prefix binary"
@@ -148,7 +148,7 @@ def _pairs(a: np.ndarray, b: np.ndarray, names: tuple[str, str] = ("a", "b")) ->
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=list(names))
 
 
-def _led(share: float, turn: int):
+def _led(share: float):
     """Pairs of a few sets of each crowded shingle, of its largest component first, with its sets of other components."""
 
     def led(batches):
@@ -157,9 +157,7 @@ def _led(share: float, turn: int):
                 continue
             own, n, top = (run.column(c).to_numpy() for c in ("own", "n", "top"))
             _, of, many = np.unique(top, return_inverse=True, return_counts=True)
-            order = np.lexsort((own, top, -many[of]))
-            first = turn * LEADERS if turn * LEADERS < many.max() else 0
-            for i in order[first : first + LEADERS]:
+            for i in np.lexsort((own, top, -many[of]))[:LEADERS]:
                 far = (top != top[i]) & (np.minimum(n, n[i]) >= share * np.maximum(n, n[i]) - 1e-9)
                 if far.any():
                     yield _pairs(np.full(int(far.sum()), own[i]), own[far])
@@ -291,9 +289,8 @@ def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFra
     sure = written(verified(written(ends(far.unionByName(same)), "proposed"), body, share), "sure")
     stars = simhash.components(sure)
     postings = lambda: shared.join(stars.withColumnRenamed("u", "own"), "own", "left").select("h", "own", "n", F.coalesce("v", "own").alias("top"))
-    for turn in range(ROUNDS):
-        asked = written(postings().repartition("h").sortWithinPartitions("h").mapInArrow(_led(share, turn), PAIR).distinct(), "led")
-        stars = simhash.components(stars.unionByName(written(verified(asked, body, share), "found")))
+    asked = written(postings().repartition("h").sortWithinPartitions("h").mapInArrow(_led(share), PAIR).distinct(), "led")
+    stars = simhash.components(stars.unionByName(written(verified(asked, body, share), "found")))
     rest = chunked(postings(), own).repartition("h", "p", "q").sortWithinPartitions("h", "p", "q").mapInArrow(_met(share), PAIR)
     more = written(verified(written(rest, "rest"), body, share), "more")
     stars = simhash.components(stars.unionByName(more))
