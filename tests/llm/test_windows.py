@@ -178,3 +178,30 @@ def test_suffix_order(texts, length, most):
 def test_least(values, size):
     size = min(size, len(values))
     assert verified.least(np.array(values), size).tolist() == [min(values[i : i + size]) for i in range(len(values) - size + 1)]
+
+
+def test_blocks_are_hashed_in_small_pieces():
+    """The hasher's arrays follow the piece, not the block; a block of many windows ends early; results are those of the whole."""
+    texts = [f"{i:04d} " * 200 for i in range(3000)] + ["", "x" * (exchange.PIECE + 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))], names=["text", "doc_id"])
+    whole = suffixes.cover_hasher(200, suffixes.PERIOD, suffixes.COVER)
+    seen = []
+
+    def hasher(data, at, piece):
+        seen.append(len(data) if piece.num_rows > 1 else 0)
+        return whole(data, at, piece)
+
+    found, rows, h, pos = list(exchange._hashes(hasher, [batch])), [], [], []
+    assert 0 < max(seen) <= exchange.PIECE
+    begin = 0
+    for block, own, at, first in found:
+        rows += block.column("doc_id").to_pylist()
+        h.append(own)
+        pos.append(at + begin)
+        begin += int(first[-1])
+        assert len(first) == block.num_rows + 1
+    expected = whole(*exchange.rolling.texts(batch.column("text")), batch)
+    assert rows == list(range(len(texts)))
+    assert (np.concatenate(h) == expected[0]).all() and (np.concatenate(pos) == expected[1]).all()
+    many = lambda data, at, piece: (np.zeros(exchange.WINDOWS, np.uint64), np.zeros(exchange.WINDOWS, np.int64), at)
+    assert all(len(own) == exchange.WINDOWS for _, own, _, _ in exchange._hashes(many, [batch.slice(0, 900)]))

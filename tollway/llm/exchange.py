@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import rolling
-from tollway.llm.common import partitions, row_key, small_batches, written
+from tollway.llm.common import partitions, released, row_key, small_batches, written
 
 LARGEST = np.iinfo(np.int64).max
-#: Bytes of text in a block, but one document at least.
-BLOCK = 2 << 20
+#: Bytes of text in a block, but one document at least, and of what is hashed at once.
+BLOCK, PIECE = 2 << 20, 1 << 18
+#: A block ends at the piece that brings it to so many windows: arrays of some 60 bytes each.
+WINDOWS = 1 << 19
 #: Hashes of a share that are packed at once, at least, and for each bucket.
 PACK, PER_ROW = 1 << 20, 64
 #: Hashes that a bucket holds, on average: some 25 bytes each.
@@ -72,15 +74,28 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def _hashes(hasher: Hasher, batches) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks and what the hasher finds in them, piece by piece, so that its own arrays stay small."""
+    for batch in rolling.chunks(batches, "text", BLOCK):
+        begin, done, units, n, hs, ps, firsts = 0, 0, 0, 0, [], [], [np.zeros(1, np.int64)]
+        for piece in rolling.chunks([batch], "text", PIECE):
+            h, pos, first = hasher(*rolling.texts(piece.column("text")), piece)
+            hs.append(h)
+            ps.append(pos + units)
+            firsts.append(first[1:] + units)
+            units, n, done = units + int(first[-1]), n + len(h), done + piece.num_rows
+            if n >= WINDOWS or done == batch.num_rows:
+                yield batch.slice(begin, done - begin), np.concatenate(hs), np.concatenate(ps), np.concatenate(firsts)
+                begin, units, n, hs, ps, firsts = done, 0, 0, [], [], [np.zeros(1, np.int64)]
+
+
 def _blocks(hasher: Hasher, batches) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
     """Of each block with windows: its name, its home row, its distinct hashes and a position of each, by position."""
-    for batch in rolling.chunks(batches, "text", BLOCK):
-        ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
-        k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
-        data, at = rolling.texts(batch.column("text"))
-        h, pos, first = hasher(data, at, batch)
+    for batch, h, pos, first in _hashes(hasher, batches):
         if not len(h):
             continue
+        ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
+        k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
         name = hashlib.blake2b(k1.tobytes() + k2.tobytes() + ids.tobytes(), digest_size=8).digest()
         order = np.argsort(h)
         new = np.r_[True, h[order[1:]] != h[order[:-1]]]
@@ -261,16 +276,16 @@ def repeats(docs: DataFrame, hasher: Hasher, name: str, hashes: int, per_bucket:
     parts = -(-hashes // (per_bucket * buckets)) or 1
     ddl, items = "block long, home boolean, body binary", F.collect_list(F.struct("home", "body")).alias("items")
     if parts == 1:
-        sent = docs.mapInArrow(_send(hasher, buckets), f"bucket int, {ddl}")
-        heard = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(1), ddl)
+        sent = docs.mapInArrow(released(_send(hasher, buckets)), f"bucket int, {ddl}")
+        heard = sent.repartitionById(buckets, "bucket").mapInArrow(released(_answer(1)), ddl)
     else:
-        hashed = written(docs.mapInArrow(_hash(hasher, parts), f"bucket int, {ddl}").sortWithinPartitions("bucket"), f"{name}-hashes")
+        hashed = written(docs.mapInArrow(released(_hash(hasher, parts)), f"bucket int, {ddl}").sortWithinPartitions("bucket"), f"{name}-hashes")
         heard = hashed.where("home").select("block", "home", "body")
         for part in range(parts):
-            sent = hashed.where(F.col("bucket") == part).mapInArrow(_pack(buckets), f"bucket int, {ddl}")
-            answers = sent.repartitionById(buckets, "bucket").mapInArrow(_answer(2), ddl)
-            heard = heard.unionByName(written(answers.groupBy("block").agg(items).mapInArrow(_split, ddl), f"{name}-answers"))
-    return written(heard.groupBy("block").agg(items).mapInArrow(_collect, "doc_id long, k1 long, k2 long, hits binary, n long, size long"), name)
+            sent = hashed.where(F.col("bucket") == part).mapInArrow(released(_pack(buckets)), f"bucket int, {ddl}")
+            answers = sent.repartitionById(buckets, "bucket").mapInArrow(released(_answer(2)), ddl)
+            heard = heard.unionByName(written(answers.groupBy("block").agg(items).mapInArrow(released(_split), ddl), f"{name}-answers"))
+    return written(heard.groupBy("block").agg(items).mapInArrow(released(_collect), "doc_id long, k1 long, k2 long, hits binary, n long, size long"), name)
 
 
 def gathered(found: DataFrame) -> DataFrame:

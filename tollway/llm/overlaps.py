@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling, simhash
-from tollway.llm.common import BLANKS, written
+from tollway.llm.common import BLANKS, released, written
 
 #: Bytes of a word and its blank, for the number of shingles to expect.
 WORD_BYTES = 5
@@ -96,7 +96,7 @@ def counted(docs: DataFrame, shingle: int) -> np.ndarray:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["slice", "body"])
 
-    parts = docs.select("text").mapInArrow(count, "slice long, body binary").repartition("slice").mapInArrow(add, "slice long, body binary").collect()
+    parts = docs.select("text").mapInArrow(released(count), "slice long, body binary").repartition("slice").mapInArrow(released(add), "slice long, body binary").collect()
     out = np.zeros(WIDTH, np.int64)
     for r in parts:
         out[r["slice"] * width : (r["slice"] + 1) * width] += np.frombuffer(r["body"], np.int64)
@@ -133,7 +133,7 @@ def prints(some: DataFrame, shingle: int, share: float) -> DataFrame:
             more = [pa.array(fp.view(np.int64)), pa.array([name_of(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int32()), pa.array(prefix, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), *more], names=["doc_id", "k1", "k2", "fp", "own", "n", "prefix"])
 
-    return some.mapInArrow(each, PRINTS)
+    return some.mapInArrow(released(each), PRINTS)
 
 
 def _flat(batches):
@@ -243,7 +243,7 @@ def bodies(rows: DataFrame, own: DataFrame, some: DataFrame, shingle: int) -> Da
             found = sets_of(batch.column("text"), shingle)
             yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array([x.tobytes() for x in found], pa.binary())], names=["own", "body"])
 
-    return written(text.mapInArrow(sets, "own long, body binary").dropDuplicates(["own"]), "sets")
+    return written(text.mapInArrow(released(sets), "own long, body binary").dropDuplicates(["own"]), "sets")
 
 
 def verified(pairs: DataFrame, body: DataFrame, share: float) -> DataFrame:
@@ -259,7 +259,7 @@ def verified(pairs: DataFrame, body: DataFrame, share: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["u", "v"])
 
     full = pairs.join(body.select(F.col("own").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("own").alias("b"), F.col("body").alias("y")), "b")
-    return full.mapInArrow(check, "u long, v long")
+    return full.mapInArrow(released(check), "u long, v long")
 
 
 def chunked(postings: DataFrame, own: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFra
     rows = written(prints(some, shingle, share), "documents")
     own = written(rows.where(F.octet_length("prefix") > 0).groupBy("own").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "own")
     body = bodies(rows, own, some, shingle)
-    shared = own.mapInArrow(_flat, "h long, own long")
+    shared = own.mapInArrow(released(_flat), "h long, own long")
     several = shared.groupBy("h").count().where("count > 1").select("h")
     shared = written(shared.join(several, "h").join(own.select("own", "n"), "own").select("h", "own", "n"), "shared")
     # sets of one fingerprint, and fingerprints that the trie links
@@ -289,9 +289,9 @@ def grouped(docs: DataFrame, shingle: int, budget: int, share: float) -> DataFra
     sure = written(verified(written(ends(far.unionByName(same)), "proposed"), body, share), "sure")
     stars = simhash.components(sure)
     postings = lambda: shared.join(stars.withColumnRenamed("u", "own"), "own", "left").select("h", "own", "n", F.coalesce("v", "own").alias("top"))
-    asked = written(postings().repartition("h").sortWithinPartitions("h").mapInArrow(_led(share), PAIR).distinct(), "led")
+    asked = written(postings().repartition("h").sortWithinPartitions("h").mapInArrow(released(_led(share)), PAIR).distinct(), "led")
     stars = simhash.components(stars.unionByName(written(verified(asked, body, share), "found")))
-    rest = chunked(postings(), own).repartition("h", "p", "q").sortWithinPartitions("h", "p", "q").mapInArrow(_met(share), PAIR)
+    rest = chunked(postings(), own).repartition("h", "p", "q").sortWithinPartitions("h", "p", "q").mapInArrow(released(_met(share)), PAIR)
     more = written(verified(written(rest, "rest"), body, share), "more")
     stars = simhash.components(stars.unionByName(more))
     named = rows.select("own").distinct().join(stars.withColumnRenamed("u", "own"), "own", "left").select("own", F.coalesce("v", "own").alias("component"))

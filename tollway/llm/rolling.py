@@ -17,7 +17,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n - 1), kept between calls."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out = np.full(max(1 << n.bit_length(), 1 << 16), base, np.uint64)
         out[0] = 1
         have = _powers[base] = np.cumprod(out)
     return have[:n]
@@ -80,7 +80,7 @@ def words(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     return start, end, np.searchsorted(start, at)
 
 
-def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 22) -> np.ndarray:
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 18) -> np.ndarray:
     """Hashes of the stretches [start, end) of data, starts ascending; prefix sums are held for `most` bytes at once."""
     out = np.empty(len(start), np.uint64)
     i = 0
@@ -113,7 +113,7 @@ def runs(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.r_[0, gap + 1]], at[np.r_[gap, len(at) - 1]] + size
 
 
-def chunks(batches, column: str, most: int = 1 << 20):
+def chunks(batches, column: str, most: int = 1 << 19):
     """Record batches cut so that their texts have about `most` bytes, but one row at least."""
     for batch in batches:
         texts_ = batch.column(column)

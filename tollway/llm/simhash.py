@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
-from tollway.llm.common import partitions, step, written
+from tollway.llm.common import partitions, released, step, written
 
 SHINGLE = 3
 BITS = 2
@@ -112,7 +112,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fp = fingerprints_of(batch.column("text"), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(fp)], schema=PRINTS)
 
-    return exchange.keyed(docs).mapInArrow(prints, "doc_id long, k1 long, k2 long, fp long")
+    return exchange.keyed(docs).mapInArrow(released(prints), "doc_id long, k1 long, k2 long, fp long")
 
 
 def _expand(a0, a1, b0, b1):
@@ -222,7 +222,7 @@ def links(prints: DataFrame, budget: int = BITS, chunk: int = CHUNK, blocks: int
     side = pair.select("fp", "turn", *key, flip.alias("flip"), alone.alias("alone"))
     task = side.groupBy("turn", "p", "q", "i", "j").agg(F.collect_list(F.when(~F.col("flip") | F.col("alone"), F.col("fp"))).alias("one"), F.collect_list(F.when(F.col("flip") | F.col("alone"), F.col("fp"))).alias("two"))
     task = task.where((F.size("one") > 0) & (F.size("two") > 0)).select("turn", "one", "two")
-    return task.mapInArrow(_links(depth, budget, block, first), "u long, v long")
+    return task.mapInArrow(released(_links(depth, budget, block, first)), "u long, v long")
 
 
 def _mark(edges: DataFrame) -> tuple:
