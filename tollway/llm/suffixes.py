@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, ranks, rolling, verified
-from tollway.llm.common import step, written
+from tollway.llm.common import released, step, written
 
 LENGTH = 200
 # A perfect difference set. Every residue modulo 133 but 0 is exactly one difference of two of them.
@@ -127,7 +127,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, cover: tu
         twins = exchange.repeats(doubt, suffix_hasher(length, period), "suffixes", total(sampled) * period // len(cover), per_bucket)
         likely = exchange.joined(doubt.drop("hits"), exchange.gathered(twins), "inner")
         found = keep(written(verified.repeats(likely, total(twins), cutter, classes(length), length, length // 2), "twins"))
-    cut = exchange.joined(doubt.drop("hits"), found, "inner").mapInArrow(_cut(length, texts), "doc_id long, k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    cut = exchange.joined(doubt.drop("hits"), found, "inner").mapInArrow(released(_cut(length, texts)), "doc_id long, k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.dropDuplicates(["doc_id", "k1", "k2"]) if not texts else cut.groupBy("doc_id", "k1", "k2").agg(*(F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256", "kept")))
     text = F.coalesce(F.col("text"), F.lit(""))
     whole = rows.select("doc_id", "k1", "k2", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"), *([text.cast("binary").alias("raw")] if texts else []))

@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling
-from tollway.llm.common import partitions
+from tollway.llm.common import partitions, released
 
 LARGEST = exchange.LARGEST
 #: Windows that a bucket takes, on average.
-PER_BUCKET = 1 << 20
+PER_BUCKET = 1 << 18
 SENT = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "known", "k1", "k2", "pos")), ("more", pa.binary())])
 PLACE = ["doc_id", "known", "k1", "k2", "pos"]
 #: (data, text offsets) -> (hash prefix sums over units, first unit of each text, bytes of units, where each unit begins in them, and ends)
@@ -53,20 +53,28 @@ def stretches(marks: np.ndarray, s: np.ndarray, size: int, part: int) -> tuple[n
 def _send(cutter: Cutter, size: int, part: int, buckets: int):
     def send(batches):
         for batch in rolling.chunks(batches, "text", exchange.BLOCK):
-            ids = batch.column("doc_id").fill_null(LARGEST).to_numpy()
-            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
-            k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
-            s, first, units, begin, end = cutter(*rolling.texts(batch.column("text")))
-            marks = np.concatenate([exchange.positions(hits) + first[i] for i, hits in enumerate(batch.column("hits").to_pylist())])
-            if not len(marks):
-                continue
-            start, n, low = stretches(marks, s, size, part)
-            doc = np.searchsorted(first, start, "right") - 1
-            raw = units.tobytes()
             index: dict[bytes, int] = {}
-            of = np.array([index.setdefault(raw[a:b], len(index)) for a, b in zip(begin[start].tolist(), end[start + n + size - 2].tolist(), strict=True)])
+            ofs, places, lows, ns = [], [], [], []
+            for piece in rolling.chunks([batch], "text", exchange.PIECE):
+                s, first, units, begin, end = cutter(*rolling.texts(piece.column("text")))
+                marks = np.concatenate([exchange.positions(hits) + first[i] for i, hits in enumerate(piece.column("hits").to_pylist())])
+                if not len(marks):
+                    continue
+                start, n, low = stretches(marks, s, size, part)
+                doc = np.searchsorted(first, start, "right") - 1
+                raw = units.tobytes()
+                ofs += [index.setdefault(raw[a:b], len(index)) for a, b in zip(begin[start].tolist(), end[start + n + size - 2].tolist(), strict=True)]
+                ids = piece.column("doc_id").fill_null(LARGEST).to_numpy()
+                known = piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+                k1, k2 = (piece.column(k).to_numpy() for k in ("k1", "k2"))
+                places.append(np.stack([ids[doc], known[doc], k1[doc], k2[doc], start - first[doc]], 1))
+                lows.append(low)
+                ns.append(n)
+            if not ofs:
+                continue
+            of, low, n = np.array(ofs), np.concatenate(lows), np.concatenate(ns)
             order = np.argsort(of, kind="stable")
-            place = np.stack([ids[doc], known[doc], k1[doc], k2[doc], start - first[doc]], 1)[order]
+            place = np.concatenate(places)[order]
             lead = np.searchsorted(of[order], np.arange(len(index)))
             upto = np.r_[lead[1:], len(of)]
             more: list[bytes | None] = [None] * len(index)
@@ -154,9 +162,9 @@ def repeats(docs: DataFrame, windows: int, cutter: Cutter, classes: Classes, siz
     ordered: only places in documents with a smaller doc_id count (a null id is the largest)."""
     n = partitions(docs.sparkSession)
     buckets = max(8 * n, windows // PER_BUCKET)
-    sent = docs.mapInArrow(_send(cutter, size, part, buckets), "bucket long, low long, n long, body binary, doc_id long, known long, k1 long, k2 long, pos long, more binary")
+    sent = docs.mapInArrow(released(_send(cutter, size, part, buckets)), "bucket long, low long, n long, body binary, doc_id long, known long, k1 long, k2 long, pos long, more binary")
     met = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
-    hits = met.mapInArrow(_judge(classes, ordered), "doc_id long, k1 long, k2 long, pos long, n long")
+    hits = met.mapInArrow(released(_judge(classes, ordered)), "doc_id long, k1 long, k2 long, pos long, n long")
     return hits.groupBy("doc_id", "k1", "k2").agg(F.collect_set(F.struct("pos", "n")).alias("hits"))
 
 
