@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollway.llm import exchange, rolling, verified
-from tollway.llm.common import step, written
+from tollway.llm.common import released, step, written
 
 WINDOW = 50
 #: Bytes of a word and its blank, for the number of windows to expect.
@@ -91,4 +91,4 @@ def dedup(docs: DataFrame, window: int = WINDOW, texts: bool = True, per_bucket:
         windows = again.agg(F.sum("n")).first()[0] or 0
         likely = exchange.joined(rows, exchange.gathered(again), "inner")
         found = keep(written(verified.repeats(likely, windows, cutter, classes(window), window, max(1, window // 3), ordered=True), "verified"))
-    return exchange.joined(rows, found, "left").select("doc_id", "text", "hits").mapInArrow(_cut(window, texts), "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return exchange.joined(rows, found, "left").select("doc_id", "text", "hits").mapInArrow(released(_cut(window, texts)), "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, kept string")
